@@ -18,14 +18,10 @@ def connect(sf_dir):
 
 
 def sorted_rows(columns, rows):
+    """Rows with columns in name order, sorted; each value goes with its type's name."""
     order = sorted(range(len(columns)), key=lambda i: columns[i])
-    return sorted(tuple((type(v).__name__, v) for v in (row[i] for i in order)) for row in rows_of(rows)), [
-        columns[i] for i in order
-    ]
-
-
-def rows_of(rows):
-    return [tuple(("", 0) if v is None else v for v in row) for row in rows]
+    typed = [tuple((type(row[i]).__name__, 0 if row[i] is None else row[i]) for i in order) for row in rows]
+    return sorted(typed), [columns[i] for i in order]
 
 
 def differences(df, con, sql):
@@ -39,3 +35,9 @@ def differences(df, con, sql):
         return None
     pairs = [(g, w) for g, w in zip(got, want) if g != w][:3]
     return f"{len(got)} rows, expected {len(want)}; first differences: {pairs}"
+
+
+def physical_plan(df):
+    """Text of the plan before any adaptive change."""
+    fresh = df.select("*")
+    return fresh._jdf.queryExecution().executedPlan().toString()
