@@ -53,4 +53,12 @@ def test_long_page_is_read_to_its_end(one):
     ],
 )
 def test_first_caption(one, html, expected):
-    assert one(markup.first_caption(F.col("h"), "img-box"), [(html,)], "h string") == [expected]
+    first = F.get(markup.first_captions(F.col("h"), ["img-box"]), F.lit(0))
+    assert one(first, [(html,)], "h string") == [expected]
+
+
+def test_first_captions_of_two_classes(one):
+    html = ('<div class="img-box"><img alt="box"></div><div class="culture-content"><p>x</p></div>'
+            '<div class="culture-content img-box"><img alt="late"></div>')
+    both = markup.first_captions(F.col("h"), ["culture-content", "img-box"])
+    assert one(both, [(html,), ("<p>",)], "h string") == [[None, "box"], None]

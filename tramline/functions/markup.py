@@ -9,6 +9,8 @@ costs nothing.
 from __future__ import annotations
 
 import sys
+from collections.abc import Sequence
+from functools import reduce
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -20,42 +22,44 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
+IMAGE_TAG = "img"
 SILENT_TAGS = frozenset(["script", "style", "template"])
 
 
 class SectionReader(HTMLParser):
     """Collects, per section, the text of its ``text_tag`` elements and an attribute.
 
-    ``sections`` holds one ``(texts, attributes, captions)`` triple per matching element:
-    the text pieces of each text element, every value of ``attribute``, and that value
-    for each ``image_tag`` (None where the image lacks it).
+    A section is a ``tag`` element with one of ``classes`` (any element if there are
+    none). ``sections`` holds, per section in page order, its classes, the text pieces of
+    each text element, every value of ``attribute``, and that value for each image (None
+    where the image lacks it).
     """
 
-    def __init__(self, tag, css_class, text_tag, attribute, image_tag="img"):
+    def __init__(self, tag, classes, text_tag, attribute):
         super().__init__(convert_charrefs=True)
-        self.tag, self.css_class, self.text_tag = tag, css_class, text_tag
-        self.attribute, self.image_tag = attribute, image_tag
+        self.tag, self.classes, self.text_tag = tag, frozenset(classes), text_tag
+        self.attribute = attribute
         self.open = []  # (tag, section or None, text pieces or None)
         self.sections = []
 
     def handle_starttag(self, tag, attrs):
         attrs = {name: value or "" for name, value in attrs}
         around = [section for _, section, _ in self.open if section is not None]
-        for _, values, captions in around:
+        for _, _, values, captions in around:
             if self.attribute in attrs:
                 values.append(attrs[self.attribute])
-            if tag == self.image_tag:
+            if tag == IMAGE_TAG:
                 captions.append(attrs.get(self.attribute))
         pieces = section = None
         if tag == self.text_tag and around:
             pieces = []
-            for texts, _, _ in around:
+            for _, texts, _, _ in around:
                 texts.append(pieces)
-        if tag == self.tag and (
-            self.css_class is None or self.css_class in attrs.get("class", "").split()
-        ):
-            section = ([], [], [])
-            self.sections.append(section)
+        if tag == self.tag:
+            matched = self.classes.intersection(attrs.get("class", "").split())
+            if matched or not self.classes:
+                section = (matched, [], [], [])
+                self.sections.append(section)
         if tag not in VOID_TAGS:
             self.open.append((tag, section, pieces))
 
@@ -97,37 +101,46 @@ def section_text(
     An element inside another one of its kind repeats its text, as each element counts
     with all it holds. A page without the section gives an empty string.
     """
+    classes = [css_class] if css_class else []
 
     @F.pandas_udf("string")
     def extract(pages: pd.Series) -> pd.Series:
         def one(page):
             out = []
-            for texts, values, _ in read_sections(page, tag, css_class, text_tag, attribute):
+            for _, texts, values, _ in read_sections(page, tag, classes, text_tag, attribute):
                 out += [piece for pieces in texts for piece in pieces] + values
             return "".join(out)
 
         return pages.map(one, na_action="ignore").astype(object)
 
-    return _per_page(html, css_class or f"<{tag}", extract, "")
+    marked = _mentions(html, classes or [f"<{tag}"])
+    return F.when(marked, extract(F.when(marked, html))).when(html.isNotNull(), F.lit(""))
 
 
-def first_caption(
-    html: Column, css_class: str, tag: str = "div", attribute: str = "alt"
+def first_captions(
+    html: Column, classes: Sequence[str], tag: str = "div", attribute: str = "alt"
 ) -> Column:
-    """Attribute of the first image in the first matching section, null if there is none."""
+    """Per class: the attribute of the first image in its first section, null if none.
 
-    @F.pandas_udf("string")
+    An array in the order of ``classes``; null for a page that mentions none of them.
+    """
+
+    @F.pandas_udf("array<string>")
     def extract(pages: pd.Series) -> pd.Series:
         def one(page):
-            sections = read_sections(page, tag, css_class, None, attribute)
-            return sections[0][2][0] if sections and sections[0][2] else None
+            found = dict.fromkeys(classes, [None])
+            for matched, _, _, captions in reversed(
+                read_sections(page, tag, classes, None, attribute)
+            ):
+                found.update(dict.fromkeys(matched, captions or [None]))
+            return [found[name][0] for name in classes]
 
         return pages.map(one, na_action="ignore").astype(object)
 
-    return _per_page(html, css_class, extract, None)
+    return extract(F.when(_mentions(html, classes), html))
 
 
-def _per_page(html, marker, extract, absent):
-    """Send only pages that mention ``marker`` to Python."""
-    marked = F.lower(html).contains(marker.lower())
-    return F.when(marked, extract(F.when(marked, html))).when(html.isNotNull(), F.lit(absent))
+def _mentions(html, words):
+    """True where one of ``words`` occurs; only such pages go to Python."""
+    lowered = F.lower(html)
+    return reduce(Column.__or__, [lowered.contains(word.lower()) for word in words])

@@ -7,13 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramline.session import estimated_bytes
+from tramline.session import planned_bytes, scanned_bytes
 
-# Below this size a hot key fits one task and the plain join is the better plan.
-SALT_FROM_BYTES = 4 << 30
+# Below this input size a hot key fits one task and the plain join is the better plan.
+SALT_FROM_BYTES = 1 << 30
 # A key is hot from this share of the rows on, so there are at most 1 / share hot keys.
 HOT_SHARE = 0.01
 SLICES = 64
+KINDS = ("inner", "left", "left_semi", "left_anti")
 
 
 def hot_key_hashes(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[int]:
@@ -39,20 +40,23 @@ def spread_join(
     salt_from_bytes: int = SALT_FROM_BYTES,
     slices: int = SLICES,
 ) -> DataFrame:
-    """``left`` joined to ``right`` on equal columns (inner, left or left_anti).
+    """``left`` joined to ``right`` on equal columns; ``how`` is one of ``KINDS``.
 
-    With ``null_safe`` null keys match each other. A left side that may be large is checked
-    for hot keys; their rows are dealt out over ``slices`` and only the right rows of those
-    keys are copied to every slice. The result equals the plain join.
+    With ``null_safe`` null keys match each other. A right side that Catalyst broadcasts,
+    by its known size, needs no care. Otherwise a large left side is checked for hot keys;
+    their rows are dealt out over ``slices`` and only the right rows of those keys are
+    copied to every slice. The result equals the plain join.
     """
-    if how not in ("inner", "left", "left_anti"):
+    if how not in KINDS:
         raise ValueError(f"cannot spread a {how} join")
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in on})
     match = [
         F.col(k).eqNullSafe(F.col(f"_r_{k}")) if null_safe else F.col(k) == F.col(f"_r_{k}")
         for k in on
     ]
-    hot = hot_key_hashes(left, on) if estimated_bytes(left) >= salt_from_bytes else []
+    hot = []
+    if not _broadcasts(right) and scanned_bytes(left) >= salt_from_bytes:
+        hot = hot_key_hashes(left, on)
     if hot:
         # The input partition deals out equal rows too, and a retried task deals alike.
         deal = F.pmod(F.spark_partition_id() + F.xxhash64(*left.columns), F.lit(slices))
@@ -64,3 +68,8 @@ def spread_join(
         match.append(F.col("_slice") == F.col("_r_slice"))
     joined = left.join(renamed, match, how)
     return joined.drop("_slice", "_r_slice", *[f"_r_{k}" for k in on])
+
+
+def _broadcasts(df):
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return 0 <= planned_bytes(df) <= limit

@@ -47,13 +47,12 @@ def describe_events(events: DataFrame, pages: DataFrame) -> DataFrame:
 
     ``pages`` holds fetched documents (url, html). A url fetched twice counts once.
     """
-    captions = pages.select(
+    found = pages.select(
         F.col("url").alias("HMPG_ADDR"),
-        text.pick_description(
-            markup.first_caption(F.col("html"), CONTENT_CLASS),
-            markup.first_caption(F.col("html"), IMAGE_CLASS),
-        ).alias("ALT"),
+        markup.first_captions(F.col("html"), [CONTENT_CLASS, IMAGE_CLASS]).alias("found"),
     )
+    alt = text.pick_description(F.get("found", F.lit(0)), F.get("found", F.lit(1)))
+    captions = found.select("HMPG_ADDR", alt.alias("ALT"))
     captions = keep_first(captions, ["HMPG_ADDR"], ["ALT"])
     return with_default_lookup(events, captions, "HMPG_ADDR", "ALT", text.NO_INFORMATION)
 
@@ -100,9 +99,9 @@ def page_texts(candidates: DataFrame, pages: DataFrame) -> DataFrame:
     Pages are narrowed to the wanted urls before any page is parsed.
     """
     wanted = candidates.select("homepage").distinct()
-    found = pages.join(wanted, pages["url"] == wanted["homepage"], "left_semi").select(
-        F.col("url").alias("homepage"),
-        markup.section_text(F.col("html"), css_class=CONTENT_CLASS).alias("text"),
+    fetched = pages.withColumnRenamed("url", "homepage")
+    found = spread_join(fetched, wanted, ["homepage"], "left_semi").select(
+        "homepage", markup.section_text(F.col("html"), css_class=CONTENT_CLASS).alias("text")
     )
     found = keep_first(found, ["homepage"], ["text"])
     return spread_join(candidates, found, ["homepage"]).select("event_id", "text")

@@ -70,10 +70,14 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     true size of the result, so a later join broadcasts it only when it really is below
     ``spark.sql.autoBroadcastJoinThreshold``, and lets each reader prune columns.
     """
-    spark = df.sparkSession
-    path = f"{_stage_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = stage_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A new path in this application's part of the shared folder."""
+    return f"{_stage_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def drop_stages(spark: SparkSession) -> None:
@@ -87,6 +91,12 @@ def _stage_root(spark: SparkSession) -> str:
     return f"{shared_folder(spark).rstrip('/')}/tramline-{spark.sparkContext.applicationId}"
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate for ``df``; no job runs."""
+def planned_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate for the result, the one it picks broadcast joins by."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def scanned_bytes(df: DataFrame) -> int:
+    """Size of all inputs the result is read from; joins do not inflate it."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
