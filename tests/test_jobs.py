@@ -1,12 +1,15 @@
 """Event load and ridership forecast, end to end on small frames."""
 
 import datetime as dt
+import json
+from zoneinfo import ZoneInfo
 
 import pytest
 from pyspark.sql import functions as F
 
 from tramline import schemas
-from tramline.plans import events, forecast
+from tramline.plans import events, forecast, jobs
+from tramline.sources import landed
 
 BATCH = dt.date(2025, 4, 17)
 NO = "정보없음"
@@ -92,36 +95,99 @@ def test_candidates(spark):
     assert found == {2, 3, 4}
 
 
-def test_full_then_incremental_load(spark, raw, pages, schema_name):
+@pytest.fixture
+def warehouse(spark, schema_name):
     spark.catalog.setCurrentDatabase(schema_name)
-    try:
-        mode, refined, texts = events.prepare_load(spark, raw, pages, BATCH)
-        assert mode == "init"
-        # b has ended; c and e have no description
-        requests = events.summary_requests(texts).collect()
-        assert [(r.event_id, r.prompt.endswith("\n\ntext a")) for r in requests] == [(1, True)]
-        answers = spark.createDataFrame([(1, "summary a")], "event_id long, answer string")
-        events.finish_load(spark, mode, refined, texts, answers, dt.datetime(2025, 4, 17, 2))
-        saved = by_home(spark.table("event"))
-        assert {h: r.event_description for h, r in saved.items()} == {
-            "a": "summary a", "b": "alt b", "c": NO, "d": NO, "e": NO
-        }
-        assert not spark.catalog.tableExists("batch_status")
-
-        more = raw.unionByName(raw_events(spark, ("f", "연극", "무료", "1", end(21)),
-                                          ("g", "연극", "무료", "1", end(21))))
-        mode, refined, texts = events.prepare_load(spark, more, pages, BATCH)
-        assert mode == "sync"
-        none = spark.createDataFrame([], "event_id long, answer string")
-        events.finish_load(spark, mode, refined, texts, none, dt.datetime(2025, 4, 18, 2))
-        synced = by_home(spark.table("event_sync"))
-        assert {h: r.event_description for h, r in synced.items()} == {
-            "a": "alt a", "c": NO, "e": NO, "f": "text f", "g": NO
-        }
-        assert len(by_home(spark.table("event"))) == 5
-        assert [r.batch_id for r in spark.table("batch_status").collect()] == [1]
-    finally:
-        spark.catalog.setCurrentDatabase("default")
+    yield schema_name
+    spark.catalog.setCurrentDatabase("default")
+
+
+def land(root, service, folder, *rows):
+    path = root / service / folder
+    path.mkdir(parents=True, exist_ok=True)
+    docs = [json.dumps({service: {"list_total_count": 1, "row": [r]}}, ensure_ascii=False) for r in rows]
+    (path / "rows.json").write_text("\n".join(docs), encoding="utf-8")
+
+
+def test_full_then_incremental_load(spark, raw, pages, warehouse, tmp_path):
+    pages.write.saveAsTable("pages")
+    spark.createDataFrame([(1, "summary a")], "event_id long, answer string").write.saveAsTable("answers")
+    spark.createDataFrame([], "event_id long, answer string").write.saveAsTable("no_answers")
+    night = dt.datetime(2025, 4, 16, 17)  # 02:00 in the city on the 17th
+
+    land(tmp_path, landed.EVENTS, "ymd=20250417", *[r.asDict() for r in raw.collect()])
+    assert jobs.draft_events(spark, str(tmp_path), "pages", night) == 1
+    # b has ended; c and e have no description
+    (request,) = spark.table("event_request").collect()
+    assert request.event_id == 1 and request.prompt.endswith("\n\ntext a")
+    assert jobs.publish_events(spark, "answers", night) == 5
+    saved = by_home(spark.table("event"))
+    assert {h: r.event_description for h, r in saved.items()} == {
+        "a": "summary a", "b": "alt b", "c": NO, "d": NO, "e": NO
+    }
+    assert not spark.catalog.tableExists("batch_status")
+
+    more = raw_events(spark, ("f", "연극", "무료", "1", end(21)), ("g", "연극", "무료", "1", end(21)))
+    next_night = dt.datetime(2025, 4, 17, 17)
+    later = raw.where("HMPG_ADDR <> 'a'").unionByName(more)
+    land(tmp_path, landed.EVENTS, "ymd=20250418", *[r.asDict() for r in later.collect()])
+    assert jobs.draft_events(spark, str(tmp_path), "pages", next_night) == 1
+    assert jobs.publish_events(spark, "no_answers", next_night) == 4
+    synced = by_home(spark.table("event_sync"))
+    assert {h: r.event_description for h, r in synced.items()} == {
+        "c": NO, "e": NO, "f": "text f", "g": NO
+    }
+    assert len(by_home(spark.table("event"))) == 5
+    (entry,) = spark.table("batch_status").collect()
+    assert tuple(entry) == (1, dt.datetime(2025, 4, 18, 2), 0)
+
+
+def test_ridership_and_forecast_jobs(spark, month, warehouse, tmp_path):
+    root = str(tmp_path)
+    spark_rows = month.collect()
+    for day in {r.service_date for r in spark_rows}:
+        land(tmp_path, landed.DAILY_RIDERS, f"ymd={day}", *[
+            {"USE_YMD": day, "SBWY_ROUT_LN_NM": r.line, "SBWY_STNS_NM": r.name + "(x)",
+             "GTON_TNOPE": r.get_on_d, "GTOFF_TNOPE": 0}
+            for r in spark_rows if r.service_date == day
+        ])
+    for ym in ("202404", "202405"):
+        land(tmp_path, landed.HOURLY_RIDERS, f"ym={ym}", *[
+            {"USE_MM": ym, "SBWY_ROUT_LN_NM": line, "STTN": name, "HR_8_GET_ON_NOPE": 30, "HR_9_GET_OFF_NOPE": 70}
+            for line, name in (("L1", "A"), ("L1", "B"))
+        ])
+    land(tmp_path, landed.STATIONS, "ymd=20250417", {"BLDN_ID": "1", "BLDN_NM": "A", "ROUTE": "L1", "LAT": "37", "LOT": "127"})
+
+    at = dt.datetime(2025, 4, 16, 16, 30, tzinfo=dt.timezone.utc)
+    for _ in range(2):  # running a job again changes nothing
+        assert jobs.load_stations(spark, root, at) == 1
+        assert jobs.load_last_month(spark, root, at) == 93
+        assert jobs.load_last_year(spark, root, at) == 96
+        assert jobs.load_daily(spark, root, dt.datetime(2025, 4, 3, 17)) == 3
+    assert spark.table("subway_data_prev_month").count() == 93
+    assert spark.table("subway_data_prev_year").count() == 96
+    assert {r.service_date for r in spark.table("subway_data_daily").collect()} == {"20250331"}
+
+    written, r2 = jobs.predict_hours(spark, at, trees=10, depth=5)
+    assert r2 > 0.8
+    rows = sorted(tuple(r) for r in spark.table("subway_predict").collect())
+    assert written == len(rows) == 48
+    busy = {(r[1], r[3]): r[4] for r in rows if r[4]}
+    assert set(busy) == {("A역", 8), ("A역", 9), ("B역", 8), ("B역", 9)}
+    assert {r[2] for r in rows} == {BATCH}
+
+
+def test_weather_job_reads_the_issued_forecast(spark, warehouse, tmp_path):
+    for base, value in (("202504162330", "1"), ("202504170030", "4")):
+        path = tmp_path / landed.FORECAST / f"base={base}"
+        path.mkdir(parents=True)
+        item = {"category": "SKY", "fcstDate": "20250417", "fcstTime": "0000", "fcstValue": value,
+                "nx": 61, "ny": 126}
+        doc = {"response": {"body": {"items": {"item": [item]}}}}
+        (path / "a.json").write_text(json.dumps(doc))
+    at = dt.datetime(2025, 4, 17, 0, 0, tzinfo=ZoneInfo("Asia/Seoul"))
+    assert jobs.load_weather(spark, str(tmp_path), at) == 1
+    assert tuple(spark.table("weather").first()) == (1, "20250417", "0000", "강남구", "맑음", None)
 
 
 HISTORY = "use_month string, line string, name string, hour int, total int"

@@ -79,10 +79,18 @@ def test_union_fills_missing_columns(spark):
     assert {(r.k, r.x, r.y) for r in merged} == {(1, "a", None), (2, None, "b")}
 
 
-def test_keep_first_is_limited_before_the_shuffle(spark):
+def test_keep_first_shrinks_groups_before_the_shuffle(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
-    plan = physical_plan(keep_first(df, ["k"], ["id"]))
-    assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
+    first = keep_first(df, ["k"], ["id"])
+    assert rows(first) == [(0, 0), (1, 1), (2, 2)]
+    plan = physical_plan(first)
+    assert plan.index("Exchange") < plan.index("partial_min")
+
+
+def test_keep_first_breaks_ties_by_the_rest(spark):
+    df = spark.createDataFrame([("a", 1, "y"), ("a", 1, "x"), ("a", 2, "w")], "k string, o int, v string")
+    assert rows(keep_first(df, ["k"], ["o"])) == [("a", 1, "x")]
+    assert rows(keep_first(df.select("k"), ["k"], [])) == [("a",)]
 
 
 @pytest.mark.parametrize("partitions", [1, 8])

@@ -4,22 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
-    """The first row per key in ``order``; null key parts equal each other.
+def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The row per key that comes first in ``order``; null key parts equal each other.
 
-    ``row_number() = 1`` plans as a group limit on both sides of the shuffle, so each map
-    task sends at most one row per key and a hot key stays small.
+    Ties go on to the remaining columns, so the result never depends on row order. As a
+    minimum over rows it has a map-side half: each task sends one row per key, and a hot
+    key stays small, where a ranking window would pull all its rows together.
     """
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_place", place).where("_place = 1").drop("_place")
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    columns = [c for c in order if c not in keys] + rest
+    if not columns:
+        return df.distinct()
+    first = df.groupBy(*keys).agg(F.min(F.struct(*columns)).alias("_first"))
+    return first.select(*keys, "_first.*").select(*df.columns)
 
 
 def union_keep_first(
-    frames: Sequence[DataFrame], keys: Sequence[str], order: Sequence
+    frames: Sequence[DataFrame], keys: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
     """Union by name; per key the row of the earliest frame, then the first in ``order``."""
     merged = None

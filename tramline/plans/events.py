@@ -17,7 +17,6 @@ from tramline.operators.ids import assign_ids
 from tramline.operators.joins import keyed_update, new_rows, with_default_lookup
 from tramline.operators.skew import spread_join
 from tramline.session import stage
-from tramline.sinks.tables import append_ledger, replace_table
 from tramline.sources.tables import FULL, INCREMENTAL, load_mode, read_table
 
 # Landed column → table column. The feed publishes LAT and LOT exchanged.
@@ -135,9 +134,9 @@ def prepare_load(
     table: str = "event",
     schema: str | None = None,
 ) -> tuple[str, DataFrame, DataFrame]:
-    """First half of a load: (mode, events, page texts), both staged.
+    """(mode, events, texts of the pages to summarise), both frames staged.
 
-    The texts go out as ``summary_requests``; the answers come back to ``finish_load``.
+    The texts go out as ``summary_requests``; the answers come back to ``apply_summaries``.
     """
     mode = load_mode(spark, table, schema)
     events = refine_events(describe_events(raw, pages), batch_date, mode)
@@ -146,24 +145,3 @@ def prepare_load(
     else:
         candidates = incremental_candidates(events, read_table(spark, table, schema))
     return mode, events, stage(page_texts(candidates, pages), "texts")
-
-
-def finish_load(
-    spark: SparkSession,
-    mode: str,
-    events: DataFrame,
-    texts: DataFrame,
-    responses: DataFrame,
-    executed: dt.datetime,
-    table: str = "event",
-    sync_table: str = "event_sync",
-    ledger: str = "batch_status",
-) -> None:
-    """Second half: a full load replaces the event table, an incremental one the sync
-    table, and notes the batch in the ledger."""
-    final = apply_summaries(events, texts, responses)
-    if mode == FULL:
-        replace_table(final, table, schemas.EVENT)
-        return
-    replace_table(final, sync_table, schemas.EVENT)
-    append_ledger(spark, ledger, executed)

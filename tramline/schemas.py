@@ -45,6 +45,8 @@ EVENT = _struct(
     "latitude double, homepage string, image_url string, detail_url string,"
     "target_user string, event_description string"
 )
+EVENT_TEXT = _struct("event_id long, text string")
+EVENT_REQUEST = _struct("event_id long, role string, prompt string")
 WEATHER = _struct(
     "id long, fcst_date string, time string, gu string, weather_status string, temperture int"
 )

@@ -1,4 +1,7 @@
-"""Landed JSON responses, one per line, under ``<root>/<service>[/ymd=…|/ym=…]``.
+"""Landed JSON responses, one per line, under ``<root>/<service>[/ymd=…|/ym=…|/base=…]``.
+
+``ymd`` is the day collected (events, stations: each collection is complete) or the day of
+service (daily ridership), ``ym`` the month of service, ``base`` a forecast's issue time.
 
 All reads carry an explicit schema. Day and month folders are partition columns, so a
 read of some days lists and opens only those.
@@ -59,12 +62,25 @@ def completeness(responses: DataFrame, folder: str | None = None) -> DataFrame:
     )
 
 
-def event_rows(spark: SparkSession, root: str) -> DataFrame:
-    return rows_of(read_responses(spark, root, EVENTS, schemas.EVENT_ROW))
+def event_rows(
+    spark: SparkSession, root: str, batch_date: dt.date | None = None
+) -> DataFrame:
+    """All events as landed, with a batch date those of that day's collection."""
+    return _collected(spark, root, EVENTS, schemas.EVENT_ROW, batch_date)
+
+
+def station_rows(
+    spark: SparkSession, root: str, batch_date: dt.date | None = None
+) -> DataFrame:
+    """The station master as landed, with a batch date that day's collection."""
+    return _collected(spark, root, STATIONS, schemas.STATION_ROW, batch_date)
 
 
-def station_rows(spark: SparkSession, root: str) -> DataFrame:
-    return rows_of(read_responses(spark, root, STATIONS, schemas.STATION_ROW))
+def _collected(spark, root, service, row, batch_date):
+    if batch_date is None:
+        return rows_of(read_responses(spark, root, service, row))
+    responses = read_responses(spark, root, service, row, "ymd")
+    return rows_of(responses.where(F.col("ymd") == batch_date.strftime("%Y%m%d")))
 
 
 def daily_rows(spark: SparkSession, root: str, batch_date: dt.date, lag_days: int = 4) -> DataFrame:
@@ -95,12 +111,22 @@ def last_year_rows(
     return rows_of(responses.where(F.col("ym").between(first, last)))
 
 
-def forecast_items(spark: SparkSession, root: str) -> DataFrame:
+def forecast_items(
+    spark: SparkSession, root: str, instant: dt.datetime | None = None
+) -> DataFrame:
+    """Forecast items; with a batch instant (UTC) those of the forecast issued for it.
+
+    Forecasts land under ``base=<yyyyMMddHHmm>``.
+    """
+    base = T.StructField("base", T.StringType())
     raw = (
-        spark.read.schema(schemas.forecast_envelope())
+        spark.read.schema(T.StructType([*schemas.forecast_envelope().fields, base]))
         .option("mode", "FAILFAST")
         .json(f"{root}/{FORECAST}")
     )
+    if instant:
+        at = F.lit(instant.replace(tzinfo=None)).cast("timestamp_ntz")
+        raw = raw.where(F.col("base") == F.concat(*dates.forecast_base(at)))
     return raw.select(F.inline("response.body.items.item"))
 
 

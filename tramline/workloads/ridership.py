@@ -21,16 +21,17 @@ SQL = {}
 
 def history(spark, sf_dir):
     """Ridership of past months: lines of an order are hours, its priority the station."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
-    lines = table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_quantity"
-    )
-    return spread_join(lines, orders, ["o_orderkey"]).select(
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
         dates.month_key(F.col("o_orderdate")).alias("use_month"),
         F.col("o_orderpriority").alias("name"),
+    )
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"),
         F.col("l_linenumber").alias("hour"),
         F.col("l_quantity").alias("total"),
     )
+    return spread_join(lines, orders, ["o_orderkey"]).drop("o_orderkey")
 
 
 def daily_forecast(spark, sf_dir):
