@@ -177,6 +177,19 @@ def test_ridership_and_forecast_jobs(spark, month, warehouse, tmp_path):
     assert {r[2] for r in rows} == {BATCH}
 
 
+def test_command_line(spark, warehouse, tmp_path, capsys):
+    from tramline.__main__ import main
+
+    row = {"BLDN_ID": "1", "BLDN_NM": "A", "ROUTE": "L1", "LAT": "37", "LOT": "127"}
+    land(tmp_path, landed.STATIONS, "ymd=20250417", row)
+    args = ["--landing", str(tmp_path), "--instant", "2025-04-16T17:00", "--schema", warehouse]
+    main(["stations", *args])
+    assert capsys.readouterr().out == "stations: 1\n"
+    assert spark.table("subway_station").first()["name"] == "A역"
+    with pytest.raises(SystemExit):
+        main(["stations"])
+
+
 def test_weather_job_reads_the_issued_forecast(spark, warehouse, tmp_path):
     for base, value in (("202504162330", "1"), ("202504170030", "4")):
         path = tmp_path / landed.FORECAST / f"base={base}"

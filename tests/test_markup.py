@@ -26,6 +26,10 @@ C = 'class="culture-content"'
         (f'<div class="x culture-content y"><span alt="t">a</span></div>', "at"),
         (f"<div {C}><span>a", "a"),
         ('<div class="other">culture-content</div>', ""),
+        # mentions that start no section, and sections after them
+        (f'<p>culture-content</p><div {C}><span>a</span></div><div {C}><span>b</span></div>', "ab"),
+        (f'<div {C}><span>a</span><div {C}><span>b</span></div></div><span>no</span>', "abb"),
+        (f"<!-- culture-content --></p><div {C}><span>a</span></div>", "a"),
         (f"<DIV {C}><SPAN>a</SPAN></DIV>", "a"),
         (f"<div {C}><p><span>a</p><span>b</span></div>", "ab"),
     ],

@@ -26,6 +26,10 @@ IMAGE_TAG = "img"
 SILENT_TAGS = frozenset(["script", "style", "template"])
 
 
+class NothingLeft(Exception):
+    """The last section is read; the rest of the page cannot add anything."""
+
+
 class SectionReader(HTMLParser):
     """Collects, per section, the text of its ``text_tag`` elements and an attribute.
 
@@ -41,6 +45,18 @@ class SectionReader(HTMLParser):
         self.attribute = attribute
         self.open = []  # (tag, section or None, text pieces or None)
         self.sections = []
+        self.left = 0  # mentions in the page that may still start a section
+
+    def read(self, html):
+        words = self.classes or [f"<{self.tag}"]
+        lowered = html if self.classes else html.lower()
+        self.left = sum(lowered.count(word) for word in words)
+        try:
+            self.feed(html)
+            self.close()
+        except NothingLeft:
+            pass
+        return self.sections
 
     def handle_starttag(self, tag, attrs):
         attrs = {name: value or "" for name, value in attrs}
@@ -60,6 +76,7 @@ class SectionReader(HTMLParser):
             if matched or not self.classes:
                 section = (matched, [], [], [])
                 self.sections.append(section)
+                self.left -= len(matched) or 1
         if tag not in VOID_TAGS:
             self.open.append((tag, section, pieces))
 
@@ -72,7 +89,9 @@ class SectionReader(HTMLParser):
         for depth in range(len(self.open) - 1, -1, -1):
             if self.open[depth][0] == tag:
                 del self.open[depth:]
-                return
+                break
+        if self.left <= 0 and all(section is None for _, section, _ in self.open):
+            raise NothingLeft
 
     def handle_data(self, data):
         if self.open and self.open[-1][0] in SILENT_TAGS:
@@ -82,13 +101,6 @@ class SectionReader(HTMLParser):
                 pieces.append(data)
 
 
-def read_sections(html, *args):
-    reader = SectionReader(*args)
-    reader.feed(html)
-    reader.close()
-    return reader.sections
-
-
 def section_text(
     html: Column,
     tag: str = "div",
@@ -107,7 +119,7 @@ def section_text(
     def extract(pages: pd.Series) -> pd.Series:
         def one(page):
             out = []
-            for _, texts, values, _ in read_sections(page, tag, classes, text_tag, attribute):
+            for _, texts, values, _ in SectionReader(tag, classes, text_tag, attribute).read(page):
                 out += [piece for pieces in texts for piece in pieces] + values
             return "".join(out)
 
@@ -129,9 +141,8 @@ def first_captions(
     def extract(pages: pd.Series) -> pd.Series:
         def one(page):
             found = dict.fromkeys(classes, [None])
-            for matched, _, _, captions in reversed(
-                read_sections(page, tag, classes, None, attribute)
-            ):
+            sections = SectionReader(tag, classes, None, attribute).read(page)
+            for matched, _, _, captions in reversed(sections):
                 found.update(dict.fromkeys(matched, captions or [None]))
             return [found[name][0] for name in classes]
 
