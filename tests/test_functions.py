@@ -76,6 +76,9 @@ def test_request_text_keeps_the_whole_text(one):
         ("1d", None),
         ("1.5f", None),
         ("1.D", None),
+        ("0x1p3", None),
+        ("+1.", 1.0),
+        ("1,5", None),
         ("-inf", float("-inf")),
         (None, None),
     ],
@@ -103,6 +106,16 @@ def test_calendar(one):
     assert one(F.add_months(F.col("d"), -12), leap, "d date")[0] == dt.date(2023, 2, 28)
 
 
+def test_strict_date(one):
+    day = dt.date(2025, 5, 1)
+    texts = [("2025-05-01 00:00:00.0",), ("2025-05-01",), ("",), (None,)]
+    assert one(dates.strict_date(F.col("t")), texts, "t string") == [day, day, None, None]
+    assert one(dates.strict_date(F.col("t"), "yyyyMMdd"), [("20250501",)], "t string") == [day]
+    for bad, pattern in (("soon", None), ("2025-02-30", None), ("20250230", "yyyyMMdd")):
+        with pytest.raises(Exception, match="not a date"):
+            one(dates.strict_date(F.col("t"), pattern), [(bad,)], "t string")
+
+
 def test_batch_times(one):
     instant = [(dt.datetime(2025, 4, 16, 15, 10, 42, 7),)]
     ddl = "t timestamp_ntz"

@@ -23,6 +23,14 @@ def city_minute(instant: Column, zone: str = CITY_ZONE) -> Column:
     return local - F.make_dt_interval(secs=F.extract(F.lit("SECOND"), local))
 
 
+def strict_date(text: Column, pattern: str | None = None) -> Column:
+    """Date in ``text``; empty text counts as null, anything else that is no date fails."""
+    given = F.nullif(text, F.lit(""))
+    day = F.try_to_date(given, pattern) if pattern else given.try_cast("date")
+    wrong = F.raise_error(F.concat(F.lit("not a date: "), given))
+    return F.when(given.isNotNull() & day.isNull(), wrong).otherwise(day)
+
+
 def ridership_date(batch_date: Column, lag_days: int = 4) -> Column:
     """Day whose ridership is published on ``batch_date``."""
     return F.date_sub(batch_date, lag_days)

@@ -6,11 +6,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity)\s*$"
+
+
 def to_number(text: Column) -> Column:
-    """Number in ``text``, or null where there is none (Java's 1d / 1f forms are not numbers)."""
-    value = text.cast("string").try_cast("double")
-    plain = ~text.cast("string").rlike(r"[0-9.][dDfF]\s*$")
-    return F.when(plain & ~F.isnan(value), value)
+    """Number in ``text``, or null where there is none.
+
+    The pattern keeps out forms only Java reads as numbers, such as ``1d`` or ``0x1p3``.
+    """
+    text = text.cast("string")
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def ratio(part: Column, total: Column) -> Column:

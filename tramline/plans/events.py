@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tramline import schemas
 from tramline.functions import markup, text
+from tramline.functions.dates import strict_date
 from tramline.functions.numbers import to_number
 from tramline.operators.dedup import keep_first
 from tramline.operators.filters import still_running, without_value
@@ -66,8 +67,8 @@ def refine_events(
     events = raw.withColumns(
         {
             "IS_FREE": text.free_flag(F.col("IS_FREE")),
-            "STRTDATE": F.to_date("STRTDATE"),
-            "END_DATE": F.to_date("END_DATE"),
+            "STRTDATE": strict_date(F.col("STRTDATE")),
+            "END_DATE": strict_date(F.col("END_DATE")),
             "CODENAME": text.collapse_category(F.col("CODENAME")),
             "LAT": to_number(F.col("LAT")),
             "LOT": to_number(F.col("LOT")),
@@ -119,9 +120,10 @@ def apply_summaries(events: DataFrame, texts: DataFrame, responses: DataFrame) -
     """Descriptions from the responses (event_id, answer).
 
     A request without answer leaves the page text, an event without page text its own
-    description.
+    description. An event answered twice gets the answer that sorts first.
     """
-    answered = spread_join(texts, responses.select("event_id", "answer"), ["event_id"], "left")
+    answers = keep_first(responses.select("event_id", "answer"), ["event_id"], ["answer"])
+    answered = spread_join(texts, answers, ["event_id"], "left")
     updates = answered.select("event_id", F.coalesce("answer", "text").alias("summary"))
     return keyed_update(events, updates, "event_id", "event_description", "summary")
 

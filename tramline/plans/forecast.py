@@ -38,7 +38,7 @@ def training_rows(
 ) -> DataFrame:
     """Both histories, one row per date, line and station, last month's row first."""
     rows = union_keep_first([last_month, daily], KEYS, list(tie))
-    day = F.to_date("service_date", "yyyyMMdd")
+    day = dates.strict_date(F.col("service_date"), "yyyyMMdd")
     return with_calendar(rows, day).select(*KEYS, *FEATURES[2:], TARGET)
 
 
