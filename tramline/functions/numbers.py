@@ -12,10 +12,13 @@ NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity)\s
 def to_number(text: Column) -> Column:
     """Number in ``text``, or null where there is none.
 
-    The pattern keeps out forms only Java reads as numbers, such as ``1d`` or ``0x1p3``.
+    The pattern keeps out forms only Java reads as numbers, such as ``1d`` or ``0x1p3``;
+    a number too large for a double is null, not infinite.
     """
     text = text.cast("string")
-    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+    value = text.try_cast("double")
+    fits = (F.abs(value) < F.lit(float("inf"))) | text.rlike("(?i)inf")
+    return F.when(text.rlike(NUMBER) & fits, value)
 
 
 def ratio(part: Column, total: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tramline.session import planned_bytes, scanned_bytes
 
 # Below this input size a hot key fits one task and the plain join is the better plan.
-SALT_FROM_BYTES = 1 << 30
+SALT_FROM_BYTES = 256 << 20
 # A key is hot from this share of the rows on, so there are at most 1 / share hot keys.
 HOT_SHARE = 0.01
 SLICES = 64
