@@ -28,7 +28,7 @@ def response(service, rows, total=None):
     return {service: {"list_total_count": total or len(rows), "row": rows}}
 
 
-def ride(day, line="1호선", name="시청", on=10, off=5):
+def ride(day, line="1호선", name="시청", on=10.0, off=5):
     return {"USE_YMD": day, "SBWY_ROUT_LN_NM": line, "SBWY_STNS_NM": name, "GTON_TNOPE": on,
             "GTOFF_TNOPE": off, "REG_YMD": "x", "EXTRA": 1}
 
@@ -96,7 +96,7 @@ def test_daily_refine(spark, rides):
 
 def test_hourly_rows(spark, tmp_path):
     row = {"USE_MM": "202404", "SBWY_ROUT_LN_NM": "1호선", "STTN": "시청(x)",
-           "HR_4_GET_ON_NOPE": 10, "HR_4_GET_OFF_NOPE": 3, "JOB_YMD": "x"}
+           "HR_4_GET_ON_NOPE": 10.0, "HR_4_GET_OFF_NOPE": 3, "JOB_YMD": "x"}
     for month in ("202312", "202404", "202501"):
         land(tmp_path, landed.HOURLY_RIDERS, f"ym={month}/a.json",
              response(landed.HOURLY_RIDERS, [{**row, "USE_MM": month}]))
@@ -174,6 +174,53 @@ def test_replace_append_and_partition_replace(spark, schema_name):
     assert spark.conf.get(sinks.OVERWRITE_MODE).lower() == "static"
 
 
+class Recorder:
+    """Stands in for a reader or writer and keeps what it is told."""
+
+    def __init__(self):
+        self.told, self.done = {}, None
+
+    def format(self, name):
+        self.told["format"] = name
+        return self
+
+    def mode(self, mode):
+        self.told["mode"] = mode
+        return self
+
+    def options(self, **options):
+        self.told.update(options)
+        return self
+
+    def load(self):
+        return self.told
+
+    def save(self):
+        self.done = True
+
+
+def test_jdbc_read_is_split_by_the_bounds():
+    session = type("Session", (), {"read": Recorder()})()
+    told = tables.read_jdbc(session, "jdbc:x", "event", "event_id", (1, 900), 8, fetchsize="1000")
+    assert told == {
+        "format": "jdbc", "url": "jdbc:x", "dbtable": "event", "partitionColumn": "event_id",
+        "lowerBound": "1", "upperBound": "900", "numPartitions": "8", "fetchsize": "1000",
+    }
+
+
+def test_jdbc_write_pins_the_schema(spark, monkeypatch):
+    writer, written = Recorder(), []
+    frame = type(spark.range(1))
+    monkeypatch.setattr(frame, "write", property(lambda df: written.append(df.dtypes) or writer))
+    df = spark.createDataFrame(
+        [(1, "a", dt.date(2025, 4, 17), 8, 5, "extra")],
+        "row_number int, name string, service_date date, hour int, predicted_total int, more string",
+    )
+    sinks.write_jdbc(df, "jdbc:x", "subway_predict", schemas.PREDICTION, "overwrite")
+    assert dict(written[0])["service_date"] == "timestamp_ntz" and "more" not in dict(written[0])
+    assert writer.told["mode"] == "overwrite" and writer.done
+
+
 def test_ledger(spark, schema_name):
     table = f"{schema_name}.batch_status"
     when = dt.datetime(2025, 4, 17, 2, 0, 31)

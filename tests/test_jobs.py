@@ -276,6 +276,13 @@ def test_train_predict_save_load(spark, month, tmp_path):
     assert predicted(forecast.DailyModel.load(spark, str(tmp_path / "model"))) == found
 
 
+def test_unseen_weekday_fails(spark, month):
+    weekdays = forecast.training_rows(month, month).where("day_of_week < 5")
+    model = forecast.train_daily(weekdays, trees=2, depth=2)
+    with pytest.raises(LookupError, match="unknown day_of_week: 5"):
+        forecast.predict_daily(model, dt.date(2025, 4, 19))
+
+
 def test_rank_target_predicts_codes(spark, month):
     model = forecast.train_daily(forecast.training_rows(month, month), target="rank", trees=5, depth=4)
     codes = model.rows.select("get_on_d").distinct().count()

@@ -279,3 +279,10 @@ def test_hourly_profile_equals_melt_and_fold(spark):
     profile = reshape.hourly_profile(wide, keys)
     assert rows(folded.select(profile.columns)) == rows(profile)
     assert physical_plan(profile).count("Exchange") == 1
+
+
+def test_hourly_profile_mixes_whole_and_decimal_columns(spark):
+    wide = spark.createDataFrame(
+        [("m", 1, 2.5)], "USE_MM string, HR_1_GET_ON_X int, HR_2_GET_OFF_X double"
+    )
+    assert rows(reshape.hourly_profile(wide, ["USE_MM"])) == [("m", 1, 1.0, 0.0), ("m", 2, 0.0, 2.5)]

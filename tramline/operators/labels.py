@@ -34,6 +34,15 @@ def decode(df: DataFrame, labels: DataFrame, code: str, value: str | None = None
     return _lookup(df, known, code, "_label", value or code)
 
 
+def code_of(labels: DataFrame, value) -> int:
+    """The code of one value, for a constant that needs no join; an unknown value fails."""
+    (name,) = [c for c in labels.columns if c != "code"]
+    found = labels.where(F.col(name) == F.lit(value)).first()
+    if found is None:
+        raise LookupError(f"unknown {name}: {value}")
+    return found["code"]
+
+
 def _lookup(df, table, key, found, target):
     found_side = table.select(key, F.col(found).alias("_found"))
     message = F.concat(F.lit(f"unknown {key}: "), F.coalesce(F.col(key).cast("string"), F.lit("null")))

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tramline.operators.aggregates import sum_by
 
@@ -57,8 +58,11 @@ def hourly_profile(wide: DataFrame, ids: Sequence[str], prefix: str = PREFIX) ->
         _, hour, _, ride = header.split("_")[:4]
         by_hour.setdefault(int(hour), {}).setdefault(ride, []).append(F.col(header))
 
+    whole = all(isinstance(wide.schema[h].dataType, T.IntegralType) for h in headers)
+    kind = "long" if whole else "double"
+
     def side(rides, name):
-        return sum(rides.get(name, []), F.lit(0).cast("long")).alias(f"get_{name.lower()}")
+        return sum(rides.get(name, []), F.lit(0)).cast(kind).alias(f"get_{name.lower()}")
 
     hours = [
         F.struct(F.lit(hour).alias("hour"), side(rides, "ON"), side(rides, "OFF"))

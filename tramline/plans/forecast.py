@@ -17,7 +17,7 @@ from tramline.operators.aggregates import distinct_rows, hourly_share, r2_score,
 from tramline.operators.dedup import union_keep_first
 from tramline.operators.ids import assign_ids
 from tramline.operators.joins import common_join
-from tramline.operators.labels import encode, fit_labels, split_flag
+from tramline.operators.labels import code_of, encode, fit_labels, split_flag
 from tramline.plans.ridership import clean_names
 from tramline.session import stage
 
@@ -117,14 +117,15 @@ def train_daily(
 def predict_daily(model: DailyModel, batch_date: dt.date) -> DataFrame:
     """Forecast of the batch date for every line and station seen in training."""
     pairs = distinct_rows(model.rows, ["line", "name"])
-    day = F.lit(batch_date)
-    dated = with_calendar(pairs.withColumn("date", day), day)
-    coded = dated.withColumns({"_line": F.col("line"), "_name": F.col("name")})
-    for column in FEATURES:
+    coded = pairs.withColumns({"_line": F.col("line"), "_name": F.col("name")})
+    for column in ("line", "name"):
         coded = encode(coded, model.labels[column], column)
+    weekday = batch_date.weekday()
+    for column, value in (("day_of_week", weekday), ("is_weekend", int(weekday >= 5))):
+        coded = coded.withColumn(column, F.lit(code_of(model.labels[column], value)))
     scored = model.forest.transform(_assembled(coded))
     return scored.select(
-        "date",
+        F.lit(batch_date).alias("date"),
         F.col("_line").alias("line"),
         F.col("_name").alias("name"),
         truncated(F.col("prediction")).alias("predicted_get_on_d"),

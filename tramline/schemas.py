@@ -21,7 +21,8 @@ def _struct(columns: str) -> T.StructType:
     return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in pairs])
 
 
-# Column names of the landed responses and the warehouse tables.
+# Column names of the landed responses and the warehouse tables. Landed counts
+# are read as doubles, since a service may write 10 or 10.0; tables hold whole numbers.
 EVENT_ROW = _struct(
     "TITLE string, CODENAME string, GUNAME string, PLACE string, STRTDATE string, END_DATE string,"
     "USE_FEE string, IS_FREE string, LAT string, LOT string, HMPG_ADDR string, MAIN_IMG string,"
@@ -31,8 +32,8 @@ STATION_ROW = _struct(
     "BLDN_ID string, BLDN_NM string, ROUTE string, LAT string, LOT string"
 )
 DAILY_ROW = _struct(
-    "USE_YMD string, SBWY_ROUT_LN_NM string, SBWY_STNS_NM string, GTON_TNOPE int,"
-    "GTOFF_TNOPE int, REG_YMD string"
+    "USE_YMD string, SBWY_ROUT_LN_NM string, SBWY_STNS_NM string, GTON_TNOPE double,"
+    "GTOFF_TNOPE double, REG_YMD string"
 )
 FORECAST_ITEM = _struct(
     "baseDate string, baseTime string, category string, fcstDate string, fcstTime string,"
@@ -69,7 +70,7 @@ def hourly_row(suffix: str = "NOPE") -> T.StructType:
     """One month of one station, boardings and alightings side by side for all 24 hours."""
     fields = [T.StructField(c, T.StringType()) for c in ("USE_MM", "SBWY_ROUT_LN_NM", "STTN")]
     fields += [
-        T.StructField(f"HR_{hour}_GET_{ride}_{suffix}", T.LongType())
+        T.StructField(f"HR_{hour}_GET_{ride}_{suffix}", T.DoubleType())
         for hour in range(24)
         for ride in ("ON", "OFF")
     ]
