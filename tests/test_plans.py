@@ -26,7 +26,7 @@ def test_no_query_pairs_rows_without_a_key(plans, name):
     assert "NestedLoopJoin" not in plans(name) and "CartesianProduct" not in plans(name)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"page_text_extract"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"page_text_extract", "event_full_load", "event_incremental_load"}))
 def test_only_page_texts_use_python(plans, name):
     assert "Python" not in plans(name) and "Pandas" not in plans(name)
 

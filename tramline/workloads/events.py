@@ -98,12 +98,16 @@ WHERE {RUNNING} AND event_description IS DISTINCT FROM '정보없음'
 """
 
 
-def incremental_candidates(spark, sf_dir):
-    """Running orders; the baseline table knows the orders that have lines."""
-    known = table(spark, sf_dir, "lineitem").select(
+def known_homepages(spark, sf_dir):
+    """The baseline table of an incremental load: orders that have lines."""
+    return table(spark, sf_dir, "lineitem").select(
         F.concat(F.lit(SITE), F.col("l_orderkey")).alias("homepage")
     )
-    return events.incremental_candidates(refined(spark, sf_dir, INCREMENTAL), known)
+
+
+def incremental_candidates(spark, sf_dir):
+    drafts = refined(spark, sf_dir, INCREMENTAL)
+    return events.incremental_candidates(drafts, known_homepages(spark, sf_dir))
 
 
 QUERIES["incremental_candidates"] = incremental_candidates
@@ -135,6 +139,10 @@ WHERE nullif(o_orderpriority, '5-LOW') IS DISTINCT FROM '4-NOT SPECIFIED'
 """
 
 
+TITLE = r"<title>([^<]*)</title>"
+AD = r'<div class="ad">([^<]*)</div>'
+
+
 def section(html, pattern):
     return F.nullif(F.regexp_extract(html, pattern, 1), F.lit(""))
 
@@ -144,15 +152,15 @@ def page_alts(spark, sf_dir):
     html = F.col("html")
     return table(spark, sf_dir, "pages").select(
         "page_id",
-        section(html, r"<title>([^<]*)</title>").alias("title"),
-        section(html, r'<div class="ad">([^<]*)</div>').alias("ad"),
+        section(html, TITLE).alias("title"),
+        section(html, AD).alias("ad"),
     )
 
 
-ALTS_SQL = """
+ALTS_SQL = f"""
 alts AS (
-  SELECT page_id, nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), '') AS title,
-         nullif(regexp_extract(html, '<div class="ad">([^<]*)</div>', 1), '') AS ad
+  SELECT page_id, nullif(regexp_extract(html, '{TITLE}', 1), '') AS title,
+         nullif(regexp_extract(html, '{AD}', 1), '') AS ad
   FROM pages),
 lengths AS (
   SELECT *, coalesce(length(trim(title)), 0) AS n1, coalesce(length(trim(ad)), 0) AS n2 FROM alts),
@@ -259,6 +267,84 @@ FROM documents LEFT JOIN updates ON doc_id = page_id
 """
 
 
+def fetched_pages(spark, sf_dir):
+    """Pages as the documents of the first orders' homepages.
+
+    The advertisement becomes the image caption, the title the text of the content section;
+    what the page held comes after.
+    """
+    caption = F.translate(F.coalesce("ad", F.lit("")), '"', "")
+    head = F.concat(
+        F.lit('<div class="img-box"><img alt="'), caption, F.lit('"></div>'),
+        F.lit('<div class="culture-content"><div><span>'), F.coalesce("title", F.lit("")),
+        F.lit("</span></div></div>"),
+    )
+    pages = table(spark, sf_dir, "pages")
+    alts = [section(F.col("html"), TITLE).alias("title"), section(F.col("html"), AD).alias("ad")]
+    return pages.select("page_id", "html", *alts).select(
+        F.concat(F.lit(SITE), "page_id").alias("url"), F.concat(head, "html").alias("html")
+    )
+
+
+def event_load(mode):
+    """The whole event load of one mode, with labels as answers to the requests."""
+
+    def load(spark, sf_dir):
+        pages = fetched_pages(spark, sf_dir)
+        raw = events.describe_events(landed_events(spark, sf_dir).drop("ALT"), pages)
+        drafts = events.refine_events(raw, BATCH_DATE, mode, ["HMPG_ADDR"])
+        if mode == FULL:
+            candidates = events.full_load_candidates(drafts, BATCH_DATE)
+        else:
+            candidates = events.incremental_candidates(drafts, known_homepages(spark, sf_dir))
+        texts = events.page_texts(candidates, pages)
+        answers = table(spark, sf_dir, "labels").select(
+            F.col("doc_id").alias("event_id"), F.concat(F.lit("quality "), "quality").alias("answer")
+        )
+        return events.apply_summaries(drafts, texts, answers)
+
+    return load
+
+
+def unescaped(column):
+    """SQL for text with the entities that occur in the pages resolved."""
+    for entity, plain in (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
+        column = f"replace({column}, '{entity}', '{plain}')"
+    return column
+
+
+def event_load_sql(numbered, candidate):
+    return f"""
+WITH {REFINED_SQL}, {ALTS_SQL},
+fetched AS (
+  SELECT '{SITE}' || page_id AS homepage,
+         {unescaped("replace(coalesce(ad, ''), '\"', '')")} AS caption,
+         {unescaped("coalesce(title, '')")} AS title_text
+  FROM alts),
+described AS (
+  SELECT refined.* EXCLUDE (event_description), title_text,
+         CASE WHEN length(trim(caption)) > 0 THEN caption ELSE '정보없음' END AS event_description
+  FROM refined LEFT JOIN fetched USING (homepage)),
+numbered AS (
+  SELECT row_number() OVER (ORDER BY homepage) AS event_id, * FROM described WHERE {numbered}),
+chosen AS (
+  SELECT event_id, title_text FROM numbered WHERE title_text IS NOT NULL AND {candidate})
+SELECT n.* EXCLUDE (title_text) REPLACE (
+    CASE WHEN c.event_id IS NULL THEN event_description
+         ELSE coalesce('quality ' || quality, c.title_text) END AS event_description)
+FROM numbered n LEFT JOIN chosen c USING (event_id) LEFT JOIN labels ON doc_id = n.event_id
+"""
+
+
+QUERIES["event_full_load"] = event_load(FULL)
+SQL["event_full_load"] = event_load_sql("true", f"{RUNNING} AND event_description <> '정보없음'")
+
+QUERIES["event_incremental_load"] = event_load(INCREMENTAL)
+SQL["event_incremental_load"] = event_load_sql(
+    RUNNING, f"homepage NOT IN (SELECT '{SITE}' || l_orderkey FROM lineitem)"
+)
+
+
 def name_normalize(spark, sf_dir):
     """Part names as station names: marked, with a note, or plain, by part type."""
     kind = F.col("p_type")
