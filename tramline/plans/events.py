@@ -53,7 +53,9 @@ def describe_events(events: DataFrame, pages: DataFrame) -> DataFrame:
     )
     alt = text.pick_description(F.get("found", F.lit(0)), F.get("found", F.lit(1)))
     captions = found.select("HMPG_ADDR", alt.alias("ALT"))
-    captions = keep_first(captions, ["HMPG_ADDR"], ["ALT"])
+    # Staged: pages are parsed once, and wide events move only if captions are too many to
+    # broadcast.
+    captions = stage(keep_first(captions, ["HMPG_ADDR"], ["ALT"]), "captions")
     return with_default_lookup(events, captions, "HMPG_ADDR", "ALT", text.NO_INFORMATION)
 
 
@@ -125,6 +127,7 @@ def apply_summaries(events: DataFrame, texts: DataFrame, responses: DataFrame) -
     answers = keep_first(responses.select("event_id", "answer"), ["event_id"], ["answer"])
     answered = spread_join(texts, answers, ["event_id"], "left")
     updates = answered.select("event_id", F.coalesce("answer", "text").alias("summary"))
+    updates = stage(updates, "summaries")  # of known size, see describe_events
     return keyed_update(events, updates, "event_id", "event_description", "summary")
 
 
