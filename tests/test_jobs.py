@@ -177,6 +177,18 @@ def test_ridership_and_forecast_jobs(spark, month, warehouse, tmp_path):
     assert {r[2] for r in rows} == {BATCH}
 
 
+def test_jobs_without_input_write_nothing(spark, warehouse, tmp_path):
+    root = str(tmp_path)
+    land(tmp_path, landed.DAILY_RIDERS, "ymd=20250101", {"USE_YMD": "20250101"})
+    land(tmp_path, landed.STATIONS, "ymd=20250101", {"BLDN_ID": "1"})
+    (tmp_path / landed.FORECAST / "base=202501010030").mkdir(parents=True)
+    at = dt.datetime(2025, 4, 16, 17)
+    assert jobs.load_daily(spark, root, at) == 0
+    assert jobs.load_stations(spark, root, at) == 0
+    assert jobs.load_weather(spark, root, at) == 0
+    assert spark.table("subway_data_daily").count() == 0
+
+
 def test_command_line(spark, warehouse, tmp_path, capsys):
     from tramline.__main__ import main
 

@@ -59,7 +59,8 @@ def spread_join(
         hot = hot_key_hashes(left, on)
     if hot:
         # The input partition deals out equal rows too, and a retried task deals alike.
-        deal = F.pmod(F.spark_partition_id() + F.xxhash64(*left.columns), F.lit(slices))
+        row_slice = F.pmod(F.xxhash64(*left.columns), F.lit(slices))
+        deal = F.pmod(row_slice + F.spark_partition_id(), F.lit(slices))
         left = left.withColumn("_slice", F.when(F.xxhash64(*on).isin(hot), deal).otherwise(0))
         copies = F.when(
             F.xxhash64(*[f"_r_{k}" for k in on]).isin(hot), F.sequence(F.lit(0), F.lit(slices - 1))

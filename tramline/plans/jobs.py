@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from tramline import schemas
 from tramline.functions.dates import CITY_ZONE
@@ -17,7 +17,7 @@ from tramline.plans import events, forecast, ridership, weather
 from tramline.sinks.tables import append_ledger, replace_partitions, replace_table
 from tramline.sources import landed
 from tramline.sources.districts import district_grid
-from tramline.sources.tables import FULL, counted, load_mode, read_table
+from tramline.sources.tables import FULL, load_mode, read_table
 
 
 def city_batch(instant: dt.datetime) -> dt.datetime:
@@ -26,23 +26,11 @@ def city_batch(instant: dt.datetime) -> dt.datetime:
     return aware.astimezone(ZoneInfo(CITY_ZONE)).replace(tzinfo=None)
 
 
-def _replace(df: DataFrame, table, schema) -> int:
-    rows, seen = counted(df, table)
-    replace_table(rows, table, schema)
-    return seen.get["rows"]
-
-
-def _replace_parts(df: DataFrame, table, schema, partition_by) -> int:
-    rows, seen = counted(df, table)
-    replace_partitions(rows, table, schema, partition_by)
-    return seen.get["rows"]
-
-
 def load_stations(
     spark: SparkSession, landing: str, instant: dt.datetime, table: str = "subway_station"
 ) -> int:
     raw = landed.station_rows(spark, landing, city_batch(instant).date())
-    return _replace(ridership.refine_stations(raw), table, schemas.STATION)
+    return replace_table(ridership.refine_stations(raw), table, schemas.STATION)
 
 
 def load_daily(
@@ -50,21 +38,21 @@ def load_daily(
 ) -> int:
     """The day published on the batch date joins the daily history."""
     raw = landed.daily_rows(spark, landing, city_batch(instant).date())
-    return _replace_parts(ridership.refine_daily(raw), table, schemas.DAILY, "service_date")
+    return replace_partitions(ridership.refine_daily(raw), table, schemas.DAILY, "service_date")
 
 
 def load_last_month(
     spark: SparkSession, landing: str, instant: dt.datetime, table: str = "subway_data_prev_month"
 ) -> int:
     raw = landed.last_month_rows(spark, landing, city_batch(instant).date())
-    return _replace_parts(ridership.refine_daily(raw), table, schemas.DAILY, "service_date")
+    return replace_partitions(ridership.refine_daily(raw), table, schemas.DAILY, "service_date")
 
 
 def load_last_year(
     spark: SparkSession, landing: str, instant: dt.datetime, table: str = "subway_data_prev_year"
 ) -> int:
     raw = landed.last_year_rows(spark, landing, city_batch(instant).date())
-    return _replace_parts(ridership.refine_hourly(raw), table, schemas.HOURLY, "use_month")
+    return replace_partitions(ridership.refine_hourly(raw), table, schemas.HOURLY, "use_month")
 
 
 def load_weather(
@@ -73,7 +61,7 @@ def load_weather(
     utc = instant.astimezone(dt.timezone.utc) if instant.tzinfo else instant
     items = landed.forecast_items(spark, landing, utc)
     refined = weather.refine_weather(weather.district_items(items, district_grid(spark)))
-    return _replace(refined, table, schemas.WEATHER)
+    return replace_table(refined, table, schemas.WEATHER)
 
 
 def predict_hours(
@@ -93,7 +81,7 @@ def predict_hours(
         city_batch(instant).date(),
         **model_options,
     )
-    return _replace(predicted, table, schemas.PREDICTION), r2
+    return replace_table(predicted, table, schemas.PREDICTION), r2
 
 
 def draft_events(
@@ -109,7 +97,7 @@ def draft_events(
     _, drafts, texts = events.prepare_load(spark, raw, fetched, day, table)
     replace_table(drafts, f"{table}_draft", schemas.EVENT)
     replace_table(texts, f"{table}_text", schemas.EVENT_TEXT)
-    return _replace(events.summary_requests(texts), f"{table}_request", schemas.EVENT_REQUEST)
+    return replace_table(events.summary_requests(texts), f"{table}_request", schemas.EVENT_REQUEST)
 
 
 def publish_events(
@@ -129,7 +117,7 @@ def publish_events(
         read_table(spark, responses),
     )
     if load_mode(spark, table) == FULL:
-        return _replace(final, table, schemas.EVENT)
-    rows = _replace(final, f"{table}_sync", schemas.EVENT)
+        return replace_table(final, table, schemas.EVENT)
+    rows = replace_table(final, f"{table}_sync", schemas.EVENT)
     append_ledger(spark, ledger, city_batch(instant))
     return rows

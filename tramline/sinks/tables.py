@@ -11,37 +11,42 @@ from pyspark.sql import types as T
 
 from tramline.operators.aggregates import next_number
 from tramline.schemas import BATCH_STATUS, conform
+from tramline.sources.tables import counted
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
-def replace_table(df: DataFrame, table: str, schema: T.StructType) -> None:
-    """The table holds exactly ``df`` afterwards."""
-    conform(df, schema).write.mode("overwrite").saveAsTable(table)
+def replace_table(df: DataFrame, table: str, schema: T.StructType) -> int:
+    """The table holds exactly ``df`` afterwards; returns the rows written."""
+    rows, seen = counted(conform(df, schema))
+    rows.write.mode("overwrite").saveAsTable(table)
+    return seen.get["rows"]
 
 
 def append_table(
     df: DataFrame, table: str, schema: T.StructType, partition_by: str | None = None
-) -> None:
+) -> int:
     """Add the rows; a second run adds them again (readers keep the first per key)."""
-    rows = conform(df, schema)
-    writer = _sized(rows, partition_by).write.mode("append")
+    rows, seen = counted(_sized(conform(df, schema), partition_by))
+    writer = rows.write.mode("append")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.saveAsTable(table)
+    return seen.get["rows"]
 
 
 def replace_partitions(
     df: DataFrame, table: str, schema: T.StructType, partition_by: str
-) -> None:
+) -> int:
     """Add the rows, replacing the partitions they fall in: a second run changes nothing."""
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
-        append_table(df, table, schema, partition_by)
-        return
-    rows = _sized(conform(df, schema), partition_by)
+        return append_table(df, table, schema, partition_by)
+    ordered = conform(df, schema).select(*spark.table(table).columns)
+    rows, seen = counted(_sized(ordered, partition_by))
     with _setting(spark, OVERWRITE_MODE, "dynamic"):
-        rows.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+        rows.write.mode("overwrite").insertInto(table)
+    return seen.get["rows"]
 
 
 def append_ledger(spark: SparkSession, table: str, executed: dt.datetime, status: int = 0) -> None:

@@ -48,9 +48,12 @@ def read_jdbc(
     return reader.load()
 
 
-def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
-    """``df`` and the row count its next action will report, without a pass of its own."""
-    seen = Observation(name)
+def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` and the row count its next action will report, without a pass of its own.
+
+    Use the frame as it is: steps put on top may drop the count of an empty input.
+    """
+    seen = Observation()
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
