@@ -154,6 +154,24 @@ LEFT JOIN hits ON hits.use_month = ids.use_month AND hits.user_id = ids.user_id
 """
 
 
+QUERIES["hourly_unpivot"] = lambda spark, sf_dir: reshape.melt_hours(
+    wide_hours(spark, sf_dir), ["USE_MM", "STTN", "SBWY_ROUT_LN_NM"]
+)
+SQL["hourly_unpivot"] = """
+WITH ids AS (
+  SELECT DISTINCT strftime(ts, '%Y%m') AS m, user_id, strftime(ts, '%a') AS line FROM events),
+hits AS (
+  SELECT strftime(ts, '%Y%m') AS m, user_id, strftime(ts, '%a') AS line, hour(ts) AS h,
+         CASE event_type WHEN 'view' THEN 'ON' ELSE 'OFF' END AS ride, count(*) AS riders
+  FROM events WHERE event_type IN ('view', 'click') GROUP BY ALL)
+SELECT ids.m AS "USE_MM", CAST(ids.user_id AS VARCHAR) AS "STTN", ids.line AS "SBWY_ROUT_LN_NM",
+       CAST(hours.h AS INTEGER) AS hour, rides.ride, coalesce(riders, 0) AS riders
+FROM ids CROSS JOIN range(24) AS hours(h) CROSS JOIN (VALUES ('ON'), ('OFF')) AS rides(ride)
+LEFT JOIN hits ON hits.m = ids.m AND hits.user_id = ids.user_id AND hits.line = ids.line
+  AND hits.h = hours.h AND hits.ride = rides.ride
+"""
+
+
 def long_rides(spark, sf_dir):
     """Views and clicks as ON and OFF rows, folded per user and hour."""
     ride = F.when(F.col("event_type") == "view", "ON").when(F.col("event_type") == "click", "OFF")
