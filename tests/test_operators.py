@@ -179,24 +179,28 @@ def skewed(spark):
 
 
 def test_hot_keys_are_found(spark):
-    hot = skew.hot_key_hashes(skewed(spark), ["k"], share=0.1)
+    hot = skew.hot_key_shares(skewed(spark), ["k"], share=0.1)
     expected = spark.createDataFrame([(-1,), (None,)], "k long").select(F.xxhash64("k")).collect()
     assert sorted(hot) == sorted(r[0] for r in expected)
-    assert skew.hot_key_hashes(skewed(spark).where("false"), ["k"]) == []
+    assert all(part == pytest.approx(1 / 3, abs=0.01) for part in hot.values())
+    assert skew.hot_key_shares(skewed(spark).where("false"), ["k"]) == {}
+    even = spark.range(50_000).select((F.col("id") % 25_000).alias("k"))
+    assert skew.hot_key_shares(even, ["k"]) == {}
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 @pytest.mark.parametrize("null_safe", [False, True])
 def test_salted_join_equals_the_plain_one(spark, how, null_safe):
     left = skewed(spark)
     right = spark.createDataFrame(
         [(k, f"r{k}") for k in (*range(0, 400), -1, -1, None)], "k long, w string"
     )
-    if how == "left_anti":
+    if how.startswith("left_"):
         right = right.where("k is null or k > 10")
 
     def counted(salt_from_bytes):
-        joined = skew.spread_join(left, right, ["k"], how, null_safe, salt_from_bytes, slices=8)
+        joined = skew.spread_join(left, right, ["k"], how, null_safe, salt_from_bytes)
+        assert joined.columns == (["k", "v"] if how.startswith("left_") else ["k", "v", "w"])
         return rows(joined.groupBy(*joined.columns).count())
 
     plain, salted = counted(1 << 60), counted(0)
@@ -206,13 +210,12 @@ def test_salted_join_equals_the_plain_one(spark, how, null_safe):
 def test_salted_join_levels_the_partitions(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
     try:
         right = spark.range(-1, 500).select(F.col("id").alias("k"), F.lit(1).alias("w"))
 
         def largest(salt_from_bytes):
-            joined = skew.spread_join(
-                skewed(spark), right, ["k"], "left", True, salt_from_bytes, slices=32
-            )
+            joined = skew.spread_join(skewed(spark), right, ["k"], "left", True, salt_from_bytes)
             sizes = joined.groupBy(F.spark_partition_id()).count().collect()
             return max(r["count"] for r in sizes)
 
@@ -220,7 +223,8 @@ def test_salted_join_levels_the_partitions(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert plain >= 20_000 and salted < 15_000
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert plain >= 20_000 and salted < 12_000
 
 
 def test_unknown_join_kind(spark):

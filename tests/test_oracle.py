@@ -41,7 +41,11 @@ def test_result_does_not_depend_on_partitions(spark, con, sf_dir, name):
 def test_salted_joins_give_the_same_results(spark, con, sf_dir, monkeypatch):
     from tramline.operators import skew
 
-    monkeypatch.setattr(skew.spread_join, "__defaults__", ("inner", False, 0, 4))
-    monkeypatch.setattr(skew.hot_key_hashes, "__defaults__", (0.001,))
+    monkeypatch.setattr(skew.spread_join, "__defaults__", ("inner", False, 0))
+    monkeypatch.setattr(skew, "_broadcasts", lambda df: False)
+    found = []
+    shares = skew.hot_key_shares
+    monkeypatch.setattr(skew, "hot_key_shares", lambda *a: found.append(shares(*a)) or found[-1])
     for name in ("hourly_disaggregate", "weather_refine", "new_rows_anti", "keyed_update", "page_enrich"):
         assert differences(QUERIES[name](spark, sf_dir), con, SQL[name]) is None, name
+    assert sum(map(bool, found)) >= 4

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,23 +14,32 @@ from tramline.session import planned_bytes, scanned_bytes
 # Below this input size a hot key fits one task and the plain join is the better plan.
 SALT_FROM_BYTES = 256 << 20
 # A key is hot from this share of the rows on, so there are at most 1 / share hot keys.
-HOT_SHARE = 0.01
-SLICES = 64
+HOT_SHARE = 0.001
+SKETCH_GROUPS = 256
 KINDS = ("inner", "left", "left_semi", "left_anti")
 
 
-def hot_key_hashes(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[int]:
-    """Hashes of the keys that hold at least ``share`` of the rows.
+def hot_key_shares(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> dict[int, float]:
+    """Hash → share of the rows, for the keys that hold at least ``share`` of them.
 
-    One pass over the key columns with a mergeable frequent-items sketch. The list has at
-    most ``1 / share`` entries; a wrong pick only costs a few copies, never rows.
+    One pass over the key columns with frequent-items sketches, merged in two steps. There
+    are at most ``1 / share`` entries; a wrong pick only costs some copies, never rows.
     """
     limit = int(1 / share)
-    hashed = df.select(F.xxhash64(*keys).alias("h"))
-    found = hashed.agg(
-        F.count("*").alias("n"), F.expr(f"approx_top_k(h, {limit}, {32 * limit})").alias("top")
-    ).first()
-    return [t["item"] for t in found["top"] or [] if t["count"] >= share * found["n"]]
+    tracked = 8 * limit
+    hashed = df.select(
+        F.xxhash64(*keys).alias("h"), F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("g")
+    )
+    parts = hashed.groupBy("g").agg(
+        F.count("*").alias("n"), F.expr(f"approx_top_k_accumulate(h, {tracked})").alias("sketch")
+    )
+    # A group rather than a plain aggregate: combining fails on tasks without any sketch.
+    merged = parts.groupBy(F.lit(0).alias("all")).agg(
+        F.sum("n").alias("n"), F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch")
+    )
+    estimate = F.expr(f"approx_top_k_estimate(sketch, {limit})")
+    found = merged.select("n", F.inline(estimate)).where(F.col("count") >= share * F.col("n"))
+    return {row["item"]: row["count"] / row["n"] for row in found.collect()}
 
 
 def spread_join(
@@ -38,14 +49,13 @@ def spread_join(
     how: str = "inner",
     null_safe: bool = False,
     salt_from_bytes: int = SALT_FROM_BYTES,
-    slices: int = SLICES,
 ) -> DataFrame:
     """``left`` joined to ``right`` on equal columns; ``how`` is one of ``KINDS``.
 
     With ``null_safe`` null keys match each other. A right side that Catalyst broadcasts,
     by its known size, needs no care. Otherwise a large left side is checked for hot keys;
-    their rows are dealt out over ``slices`` and only the right rows of those keys are
-    copied to every slice. The result equals the plain join.
+    the rows of each are dealt out over slices of half a usual partition, and its right rows
+    are copied to those slices. The result equals the plain join.
     """
     if how not in KINDS:
         raise ValueError(f"cannot spread a {how} join")
@@ -54,21 +64,38 @@ def spread_join(
         F.col(k).eqNullSafe(F.col(f"_r_{k}")) if null_safe else F.col(k) == F.col(f"_r_{k}")
         for k in on
     ]
-    hot = []
+    hot = {}
     if not _broadcasts(right) and scanned_bytes(left) >= salt_from_bytes:
-        hot = hot_key_hashes(left, on)
+        hot = hot_key_shares(left, on)
     if hot:
+        slices = _slice_table(left.sparkSession, hot)
         # The input partition deals out equal rows too, and a retried task deals alike.
-        row_slice = F.pmod(F.xxhash64(*left.columns), F.lit(slices))
-        deal = F.pmod(row_slice + F.spark_partition_id(), F.lit(slices))
-        left = left.withColumn("_slice", F.when(F.xxhash64(*on).isin(hot), deal).otherwise(0))
-        copies = F.when(
-            F.xxhash64(*[f"_r_{k}" for k in on]).isin(hot), F.sequence(F.lit(0), F.lit(slices - 1))
-        ).otherwise(F.array(F.lit(0)))
-        renamed = renamed.withColumn("_r_slice", F.explode(copies))
+        deal = F.pmod(F.xxhash64(*left.columns), F.col("_slices")) + F.spark_partition_id()
+        left = _with_slices(left, on, slices).withColumn(
+            "_slice", F.coalesce(F.pmod(deal, F.col("_slices")), F.lit(0))
+        )
+        copies = F.sequence(F.lit(0), F.coalesce("_slices", F.lit(1)) - 1)
+        renamed = _with_slices(renamed, [f"_r_{k}" for k in on], slices)
+        renamed = renamed.withColumn("_r_slice", F.explode(copies)).drop("_slices")
         match.append(F.col("_slice") == F.col("_r_slice"))
     joined = left.join(renamed, match, how)
-    return joined.drop("_slice", "_r_slice", *[f"_r_{k}" for k in on])
+    return joined.drop("_slices", "_slice", "_r_slice", *[f"_r_{k}" for k in on])
+
+
+def _slice_table(spark, hot):
+    """(hash, slices): as many slices as the key fills half partitions.
+
+    At most ``1 / HOT_SHARE`` rows, and the slices add up to at most twice the number of
+    shuffle partitions plus one per key, which bounds the copies on the right.
+    """
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = [max(2, math.ceil(2 * part * partitions)) for part in hot.values()]
+    return spark.createDataFrame(pa.table({"_hash": list(hot), "_slices": pa.array(counts, pa.int64())}))
+
+
+def _with_slices(df, keys, slices):
+    hashed = df.withColumn("_hash", F.xxhash64(*keys))
+    return hashed.join(F.broadcast(slices), "_hash", "left").drop("_hash")
 
 
 def _broadcasts(df):
