@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import re
 import shutil
 
 import pytest
@@ -41,6 +42,16 @@ def test_event_rows_and_completeness(spark, tmp_path):
     assert landed.completeness(raw).first().asDict() == {"declared": 3, "collected": 2}
 
 
+def test_incomplete_days_are_found(spark, tmp_path):
+    land(tmp_path, landed.DAILY_RIDERS, "ymd=20250101/a.json",
+         response(landed.DAILY_RIDERS, [ride("20250101")], 2), response(landed.DAILY_RIDERS, [ride("20250101")], 2))
+    land(tmp_path, landed.DAILY_RIDERS, "ymd=20250102/a.json", response(landed.DAILY_RIDERS, [ride("20250102")], 2))
+    land(tmp_path, landed.DAILY_RIDERS, "ymd=20250103/a.json", {"RESULT": {"CODE": "ERROR-500"}})
+    raw = landed.read_responses(spark, str(tmp_path), landed.DAILY_RIDERS, schemas.DAILY_ROW, "ymd")
+    found = sorted(tuple(r) for r in landed.incomplete(raw, "ymd").collect())
+    assert found == [("20250102", 2, 1), ("20250103", None, 0)]
+
+
 def test_malformed_response_fails(spark, tmp_path):
     folder = tmp_path / landed.STATIONS
     folder.mkdir()
@@ -82,6 +93,7 @@ def test_daily_rows_reads_one_folder(spark, rides):
 
 def test_last_month_of_january_is_december(spark, rides):
     df = landed.last_month_rows(spark, rides, dt.date(2025, 1, 7))
+    assert "20241201), (ymd" in re.sub(r"#\d+", "", physical_plan(df))
     assert sorted({r.USE_YMD for r in df.collect()}) == ["20241201", "20241231"]
 
 

@@ -13,13 +13,15 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
 
     Ties go on to the remaining columns, so the result never depends on row order. As a
     minimum over rows it has a map-side half: each task sends one row per key, and a hot
-    key stays small, where a ranking window would pull all its rows together.
+    key stays small, where a ranking window would pull all its rows together. The hash of the
+    key leads the grouping because the aggregate sorts, and a number sorts faster than text.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
     columns = [c for c in order if c not in keys] + rest
     if not columns:
         return df.distinct()
-    first = df.groupBy(*keys).agg(F.min(F.struct(*columns)).alias("_first"))
+    grouped = df.groupBy(F.xxhash64(*keys).alias("_hash"), *keys)
+    first = grouped.agg(F.min(F.struct(*columns)).alias("_first"))
     return first.select(*keys, "_first.*").select(*df.columns)
 
 

@@ -72,7 +72,7 @@ def train_daily(
     rows: DataFrame,
     target: str = "count",
     trees: int = 100,
-    depth: int = 12,
+    depth: int = 20,
     max_bins: int = 1024,
     seed: int = 2025,
 ) -> DailyModel:

@@ -62,6 +62,12 @@ def completeness(responses: DataFrame, folder: str | None = None) -> DataFrame:
     )
 
 
+def incomplete(responses: DataFrame, folder: str | None = None) -> DataFrame:
+    """Folders whose collected rows fall short of what the service declared."""
+    counts = completeness(responses, folder)
+    return counts.where("declared IS NULL OR collected < declared")
+
+
 def event_rows(
     spark: SparkSession, root: str, batch_date: dt.date | None = None
 ) -> DataFrame:
