@@ -5,6 +5,7 @@ import json
 from zoneinfo import ZoneInfo
 
 import pytest
+from compare import physical_plan
 from pyspark.sql import functions as F
 
 from tramline import schemas
@@ -95,6 +96,25 @@ def test_candidates(spark):
     assert found == {2, 3, 4}
 
 
+def test_answers_go_before_page_texts(spark):
+    drafts = spark.createDataFrame([(i, f"old {i}") for i in range(1, 5)], "event_id long, event_description string")
+    texts = spark.createDataFrame([(1, "page 1"), (2, "page 2"), (3, "page 3")], "event_id long, text string")
+    answers = spark.createDataFrame(
+        [(1, "new 1"), (1, "new 1 again"), (1, None), (2, None), (9, "lost")], "event_id long, answer string"
+    )
+    found = events.apply_summaries(drafts, texts, answers)
+    assert {r.event_id: r.event_description for r in found.collect()} == {
+        1: "new 1", 2: "page 2", 3: "page 3", 4: "old 4"
+    }
+
+
+def test_few_candidates_leave_pages_in_place(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("url", "html")
+    few = pages.select(F.xxhash64("url").alias("event_id"), F.col("url").alias("homepage")).limit(3)
+    plan = physical_plan(events.page_texts(few, pages))
+    assert "LeftSemi, BuildRight" in plan and plan.count("SortMergeJoin") == 0
+
+
 @pytest.fixture
 def warehouse(spark, schema_name):
     spark.catalog.setCurrentDatabase(schema_name)

@@ -98,8 +98,10 @@ def incremental_candidates(events: DataFrame, baseline: DataFrame) -> DataFrame:
 def page_texts(candidates: DataFrame, pages: DataFrame) -> DataFrame:
     """(event_id, text) for candidates with a fetched page.
 
-    Pages are narrowed to the wanted urls before any page is parsed.
+    Pages are narrowed to the wanted urls before any page is parsed. The candidates are
+    staged for that: found once, and few of them are broadcast in place of moving pages.
     """
+    candidates = stage(candidates, "candidates")
     wanted = candidates.select("homepage").distinct()
     fetched = pages.withColumnRenamed("url", "homepage")
     found = spread_join(fetched, wanted, ["homepage"], "left_semi").select(
@@ -124,7 +126,8 @@ def apply_summaries(events: DataFrame, texts: DataFrame, responses: DataFrame) -
     A request without answer leaves the page text, an event without page text its own
     description. An event answered twice gets the answer that sorts first.
     """
-    answers = keep_first(responses.select("event_id", "answer"), ["event_id"], ["answer"])
+    given = responses.select("event_id", "answer").where(F.col("answer").isNotNull())
+    answers = keep_first(given, ["event_id"], ["answer"])
     answered = spread_join(texts, answers, ["event_id"], "left")
     updates = answered.select("event_id", F.coalesce("answer", "text").alias("summary"))
     updates = stage(updates, "summaries")  # of known size, see describe_events
