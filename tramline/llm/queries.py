@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tramline.llm import simhash
+from tramline.llm import secrets, simhash
 from tramline.workloads.tables import table
 
 SQL: dict[str, str] = {}
@@ -17,4 +17,23 @@ def op2_simhash_near_dedup(spark, sf_dir):
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op8_secret_scan(spark, sf_dir):
+    """Base and entropy spans of every document."""
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+
+    def joined(column):
+        return F.array_join(F.transform(column, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["rank"] < len(secrets.BASE))
+    return found.select(
+        "doc_id",
+        *(count(kind) for kind, *_ in secrets.BASE),
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op")}
