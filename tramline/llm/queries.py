@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tramline.llm import secrets, simhash
+from tramline.llm import embeddings, secrets, simhash
 from tramline.workloads.tables import table
 
 SQL: dict[str, str] = {}
@@ -17,6 +17,11 @@ def op2_simhash_near_dedup(spark, sf_dir):
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op4_embedding_near_dedup(spark, sf_dir):
+    """Links and group of every vector."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
 def op8_secret_scan(spark, sf_dir):
     """Base and entropy spans of every document."""
     found = secrets.scan(table(spark, sf_dir, "documents"))
