@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tramline.llm import embeddings, secrets, simhash
+from tramline.llm import embeddings, lines, secrets, simhash
 from tramline.workloads.tables import table
 
 SQL: dict[str, str] = {}
@@ -41,4 +41,12 @@ def op8_secret_scan(spark, sf_dir):
     )
 
 
+def op10_line_dedup(spark, sf_dir):
+    """Every document without lines that occur, or nearly occur, earlier."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    gone = lines.removed_lines(docs).withColumnRenamed("id", "doc_id")
+    found = lines.keep_lines(docs, gone, "doc_id", "text", counts=True)
+    return found.select("doc_id", "n_lines", "n_removed", "text")
+
+
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op")}
