@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tramline.llm import embeddings, lines, secrets, simhash
+from tramline.llm import embeddings, lines, lm, secrets, simhash
 from tramline.workloads.tables import table
 
 SQL: dict[str, str] = {}
@@ -22,6 +22,23 @@ def op4_embedding_near_dedup(spark, sf_dir):
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.95)
 
 
+def op7_lm_scoring(spark, sf_dir):
+    """Scores of every document by a model of those whose fold is not 2."""
+    docs = table(spark, sf_dir, "documents")
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7))
+    model = lm.train(docs.where(fold != 2))
+    found = lm.score(model, docs)
+    return found.select(
+        "doc_id",
+        F.coalesce(fold == 2, F.lit(False)).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.n).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 def op8_secret_scan(spark, sf_dir):
     """Base and entropy spans of every document."""
     found = secrets.scan(table(spark, sf_dir, "documents"))

@@ -25,13 +25,15 @@ _M1, _M2, _M3 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np
 _SHIFT = np.uint64(33)
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that each holds at most ``SLICE_BYTES`` of text, or one row."""
+def text_slices(
+    batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that each holds at most ``most`` bytes of text, or one row."""
     for batch in batches:
         _, offsets = utf8(batch.column(column))
         at = 0
         while at < batch.num_rows:
-            end = int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, "right")) - 1
+            end = int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1
             end = min(max(end, at + 1), batch.num_rows)
             yield batch.slice(at, end - at)
             at = end
