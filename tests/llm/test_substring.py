@@ -1,0 +1,82 @@
+import hashlib
+import random
+
+import pytest
+from conftest_llm import words
+
+from tramline.llm import substring
+from tramline.llm.queries import QUERIES
+
+
+def brute(docs, window=20):
+    """{id: (n_words, n_removed, kept text)} for unique ids."""
+    seen, gone = set(), {}
+    for i, t in sorted(docs):
+        w = words(t)
+        gone[i] = [False] * len(w)
+        for k in range(len(w) - window + 1):
+            run = tuple(w[k : k + window])
+            if run in seen:
+                gone[i][k : k + window] = [True] * window
+            seen.add(run)
+    out = {}
+    for i, t in docs:
+        w = words(t)
+        out[i] = (len(w), sum(gone[i]), " ".join(x for x, g in zip(w, gone[i], strict=True) if not g))
+    return out
+
+
+def test_query_equals_brute_force(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    df = QUERIES["op9_substring_dedup"](spark, sf_dir)
+    assert df.dtypes[:4] == [("doc_id", "bigint"), ("n_words", "bigint"), ("n_removed", "bigint"), ("kept_sha256", "string")]
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in df.collect()}
+    want = {i: (n, g, hashlib.sha256(t.encode()).hexdigest()) for i, (n, g, t) in brute([(r.doc_id, r.text) for r in rows]).items()}
+    assert got == want
+    assert sum(g for _, g, _ in want.values()) > 0
+
+
+@pytest.mark.parametrize("window,block", [(20, 64), (20, 4), (5, 8), (9, 2)])
+def test_mixed_passages(spark, docs, window, block, monkeypatch):
+    monkeypatch.setattr(substring, "BLOCK", block)
+    rng = random.Random(window * block)
+    vocabulary = [f"w{i}é" for i in range(2000)]
+    passages = [rng.choices(vocabulary, k=rng.randint(window - 3, 6 * window)) for _ in range(15)]
+    passages += [["a"] * (3 * window), ["a", "b"] * window, rng.choices(vocabulary, k=window)]
+    rows = []
+    for i in range(80):
+        out = []
+        for _ in range(rng.randint(0, 6)):
+            part = list(rng.choice(passages)) if rng.random() < 0.6 else rng.choices(vocabulary, k=rng.randint(0, 60))
+            if rng.random() < 0.3 and part:
+                part[rng.randrange(len(part))] = "edit"
+            a = rng.randrange(len(part) + 1) if rng.random() < 0.3 else 0
+            out += part[a:]
+        rows.append((rng.randrange(10**12) * 100 + i, rng.choice((" ", "\n", " \t ")).join(out), "en", "s", 1))
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_text) for r in substring.remove_duplicates(docs(rows), window=window).collect()}
+    assert got == brute([r[:2] for r in rows], window)
+
+
+def test_spans(spark, docs):
+    a, b = [f"a{i}" for i in range(25)], [f"b{i}" for i in range(30)]
+    rows = [(1, " ".join(a + b), None, None, None), (2, " ".join(["x", *b[:21], "y", *a]), None, None, None)]
+    got = {r.id: [tuple(s) for s in r.spans] for r in substring.duplicate_spans(docs(rows)).collect()}
+    assert got == {1: [], 2: [(1, 22), (23, 48)]}
+
+
+def test_edge_rows(spark, docs):
+    text = " ".join(f"w{i}" for i in range(40))
+    long = " ".join(f"v{i % 5000}" for i in range(60000))
+    rows = [
+        (None, text, None, None, None), (1, None, None, None, None), (2, "", "en", None, 1), (-3, text, "en", "s", 1),
+        (4, text, "en", "s", 1), (4, text, "en", "s", 1), (5, "x " + text, "en", "s", 1), (5, "y " + text, "en", "s", 1), (6, long, "en", "s", 1),
+        (7, "one two", "en", "s", 1),
+    ]
+    table = docs(rows).selectExpr("*", "1 AS id", "'c' AS check", "2 AS spans", "3 AS t", "4 AS n_words")
+    got = sorted((r.doc_id or 0, r.n_words, r.n_removed) for r in substring.remove_duplicates(table).collect())
+    assert got == sorted([
+        (0, 40, 0), (1, 0, 0), (2, 0, 0), (-3, 40, 0), (4, 40, 40), (4, 40, 40), (5, 41, 40), (5, 41, 40), (6, 60000, 55000), (7, 2, 0)
+    ])
+    assert substring.remove_duplicates(table.where("false")).count() == 0
+    only = substring.remove_duplicates(table.where("doc_id = 4")).collect()
+    assert [r.n_removed for r in only] == [0, 0]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tramline.llm import embeddings, lines, lm, secrets, simhash
+from tramline.llm import embeddings, lines, lm, secrets, simhash, substring
 from tramline.workloads.tables import table
 
 SQL: dict[str, str] = {}
@@ -58,6 +58,13 @@ def op8_secret_scan(spark, sf_dir):
     )
 
 
+def op9_substring_dedup(spark, sf_dir):
+    """What is left of every document when repeated passages of 20 words go."""
+    found = substring.remove_duplicates(table(spark, sf_dir, "documents"), window=20)
+    digest = F.sha2(F.col("kept_text").cast("binary"), 256)
+    return found.select("doc_id", "n_words", "n_removed", digest.alias("kept_sha256"))
+
+
 def op10_line_dedup(spark, sf_dir):
     """Every document without lines that occur, or nearly occur, earlier."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
