@@ -4,12 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tramline.llm import embeddings, lines, lm, secrets, simhash, substring
+from tramline.llm import embeddings, lines, lm, packing, secrets, simhash, substring
 from tramline.workloads.tables import table
 
 SQL: dict[str, str] = {}
 
 
+def tokenizer_path():
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_best_fit_packing(spark, sf_dir):
+    """All documents in sequences of 1024 tokens."""
+    found = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2, size=1024)
+    return found.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op2_simhash_near_dedup(spark, sf_dir):
     """Fingerprint and group of every document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_distance=3)
