@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tramline.llm import embeddings, lines, lm, packing, secrets, simhash, substring
+from tramline.llm import embeddings, langid, lines, lm, packing, secrets, simhash, substring
 from tramline.workloads.tables import table
 
 SQL: dict[str, str] = {}
@@ -29,6 +29,15 @@ def op2_simhash_near_dedup(spark, sf_dir):
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op3_language_id(spark, sf_dir):
+    """Language of every document by a model of those whose fold is not 2."""
+    docs = table(spark, sf_dir, "documents")
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4))
+    model = langid.train(docs.where(fold != 2))
+    found = langid.classify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op4_embedding_near_dedup(spark, sf_dir):
     """Links and group of every vector."""
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.95)
