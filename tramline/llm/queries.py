@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tramline.llm import embeddings, langid, lines, lm, packing, secrets, simhash, substring
+from tramline.llm import decontam, embeddings, langid, lines, lm, packing, secrets, simhash, substring
 from tramline.workloads.tables import table
 
 SQL: dict[str, str] = {}
@@ -43,6 +43,12 @@ def op4_embedding_near_dedup(spark, sf_dir):
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.95)
 
 
+def op5_benchmark_decontamination(spark, sf_dir):
+    """Best window of every document for every benchmark item that it holds."""
+    found = decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnsRenamed({"id": "doc_id", "item": "item_id"})
+
+
 def op7_lm_scoring(spark, sf_dir):
     """Scores of every document by a model of those whose fold is not 2."""
     docs = table(spark, sf_dir, "documents")
