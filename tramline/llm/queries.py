@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tramline.llm import decontam, embeddings, langid, lines, lm, packing, secrets, simhash, substring
+from tramline.llm import decontam, embeddings, langid, lines, lm, packing, secrets, simhash, substring, warc
 from tramline.workloads.tables import table
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op6_warc_revisits": warc.SQL}
 
 
 def tokenizer_path():
@@ -49,6 +49,14 @@ def op5_benchmark_decontamination(spark, sf_dir):
     return found.withColumnsRenamed({"id": "doc_id", "item": "item_id"})
 
 
+def op6_warc_revisits(spark, sf_dir):
+    """Outcome and merged headers of the revisits derived from all pages."""
+    found = warc.resolve_revisits(warc.captures_of(table(spark, sf_dir, "pages")))
+    names = ("etag", "cache-control", "content-length", "content-type", "last-modified")
+    fields = [F.col("headers")[name].alias(name.replace("-", "_")) for name in names]
+    return found.select("record_id", "canonical_url", "captured_at", "outcome", "response_id", *fields)
+
+
 def op7_lm_scoring(spark, sf_dir):
     """Scores of every document by a model of those whose fold is not 2."""
     docs = table(spark, sf_dir, "documents")
