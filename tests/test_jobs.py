@@ -136,6 +136,8 @@ def test_full_then_incremental_load(spark, raw, pages, warehouse, tmp_path):
     night = dt.datetime(2025, 4, 16, 17)  # 02:00 in the city on the 17th
 
     land(tmp_path, landed.EVENTS, "ymd=20250417", *[r.asDict() for r in raw.collect()])
+    with pytest.raises(LookupError, match="event_draft"):
+        jobs.publish_events(spark, "answers", night)
     assert jobs.draft_events(spark, str(tmp_path), "pages", night) == 1
     # b has ended; c and e have no description
     (request,) = spark.table("event_request").collect()
@@ -146,12 +148,23 @@ def test_full_then_incremental_load(spark, raw, pages, warehouse, tmp_path):
         "a": "summary a", "b": "alt b", "c": NO, "d": NO, "e": NO
     }
     assert not spark.catalog.tableExists("batch_status")
+    # the same batch again, from either job, is still a full load and changes nothing
+    assert jobs.publish_events(spark, "answers", night) == 5
+    assert jobs.draft_events(spark, str(tmp_path), "pages", night) == 1
+    assert jobs.publish_events(spark, "answers", night) == 5
+    assert by_home(spark.table("event")) == saved
+    assert not spark.catalog.tableExists("batch_status") and not spark.catalog.tableExists("event_sync")
 
     more = raw_events(spark, ("f", "연극", "무료", "1", end(21)), ("g", "연극", "무료", "1", end(21)))
     next_night = dt.datetime(2025, 4, 17, 17)
     later = raw.where("HMPG_ADDR <> 'a'").unionByName(more)
     land(tmp_path, landed.EVENTS, "ymd=20250418", *[r.asDict() for r in later.collect()])
     assert jobs.draft_events(spark, str(tmp_path), "pages", next_night) == 1
+    with pytest.raises(LookupError, match="event_draft"):
+        jobs.publish_events(spark, "no_answers", night)
+    for _ in range(2):
+        assert jobs.publish_events(spark, "no_answers", next_night) == 4
+    assert jobs.draft_events(spark, str(tmp_path), "pages", next_night) == 1
     assert jobs.publish_events(spark, "no_answers", next_night) == 4
     synced = by_home(spark.table("event_sync"))
     assert {h: r.event_description for h, r in synced.items()} == {

@@ -198,12 +198,12 @@ def test_salted_join_equals_the_plain_one(spark, how, null_safe):
     if how.startswith("left_"):
         right = right.where("k is null or k > 10")
 
-    def counted(salt_from_bytes):
-        joined = skew.spread_join(left, right, ["k"], how, null_safe, salt_from_bytes)
+    def counted(slices):
+        joined = skew.spread_join(left, right, ["k"], how, null_safe, slices)
         assert joined.columns == (["k", "v"] if how.startswith("left_") else ["k", "v", "w"])
         return rows(joined.groupBy(*joined.columns).count())
 
-    plain, salted = counted(1 << 60), counted(0)
+    plain, salted = counted(False), counted(True)
     assert plain == salted and plain
 
 
@@ -214,12 +214,12 @@ def test_salted_join_levels_the_partitions(spark):
     try:
         right = spark.range(-1, 500).select(F.col("id").alias("k"), F.lit(1).alias("w"))
 
-        def largest(salt_from_bytes):
-            joined = skew.spread_join(skewed(spark), right, ["k"], "left", True, salt_from_bytes)
+        def largest(slices):
+            joined = skew.spread_join(skewed(spark), right, ["k"], "left", True, slices)
             sizes = joined.groupBy(F.spark_partition_id()).count().collect()
             return max(r["count"] for r in sizes)
 
-        plain, salted = largest(1 << 60), largest(0)
+        plain, salted = largest(False), largest(True)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")

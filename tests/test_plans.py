@@ -5,8 +5,9 @@ from compare import physical_plan
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
+from tramline import workloads
 
-QUERIES = queries()
+QUERIES = {name: query for name, query in queries().items() if name in workloads.QUERIES}
 
 
 @pytest.fixture(scope="module")

@@ -25,6 +25,8 @@ def test_shared_folder_comes_from_the_session():
 def test_a_cluster_without_shared_folder_is_an_error():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_folder(Fake("yarn"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(Fake("local-cluster[2,1,1024]"))
 
 
 def test_a_local_master_may_use_its_own_folder():

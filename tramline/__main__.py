@@ -37,6 +37,7 @@ def parser() -> argparse.ArgumentParser:
 
     for name in FROM_LANDING:
         add_timed(name, "landing")
+    jobs_of.choices["last-year"].add_argument("--suffix", default="NOPE", help="end of the hour columns' names")
     add_timed("predict")
     add_timed("draft-events", "landing", "pages")
     add_timed("publish-events", "responses")
@@ -45,6 +46,8 @@ def parser() -> argparse.ArgumentParser:
 
 
 def run(spark, args) -> object:
+    if args.job == "last-year":
+        return jobs.load_last_year(spark, args.landing, args.instant, suffix=args.suffix)
     if args.job in FROM_LANDING:
         return FROM_LANDING[args.job](spark, args.landing, args.instant)
     if args.job == "predict":

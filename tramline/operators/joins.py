@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tramline.operators.dedup import keep_first
 from tramline.operators.skew import spread_join
 
 
@@ -28,9 +29,10 @@ def keyed_update(
 ) -> DataFrame:
     """``column`` := ``new`` where ``updates`` has the key, a null included.
 
-    ``updates`` holds one row per key.
+    A key that ``updates`` repeats takes its value that sorts first, nulls before others.
     """
-    hits = updates.select(key, F.col(new).alias("_new"), F.lit(True).alias("_hit"))
+    hits = keep_first(updates.select(key, F.col(new).alias("_new")), [key], ["_new"])
+    hits = hits.withColumn("_hit", F.lit(True))
     joined = spread_join(df, hits, [key], "left")
     changed = F.when(F.col("_hit"), F.col("_new")).otherwise(F.col(column))
     return joined.withColumn(column, changed).select(*df.columns)
@@ -45,9 +47,9 @@ def with_default_lookup(
 ) -> DataFrame:
     """``value`` looked up by ``key``, ``default`` where there is no usable entry.
 
-    ``lookup`` holds one row per key.
+    A key that ``lookup`` repeats takes its value that sorts first, nulls before others.
     """
-    joined = spread_join(df, lookup.select(key, value), [key], "left")
+    joined = spread_join(df, keep_first(lookup.select(key, value), [key], [value]), [key], "left")
     return joined.withColumn(value, F.coalesce(value, F.lit(default)))
 
 

@@ -9,17 +9,16 @@ from pyspark.sql import functions as F
 
 from tramline.operators.ids import assign_ids
 from tramline.operators.skew import spread_join
-from tramline.session import stage
 
 
 def fit_labels(df: DataFrame, column: str) -> DataFrame:
     """``(column, code)``: the sorted distinct values numbered 0 … k−1.
 
-    Staged, so that joins know its size and broadcast it only while it is small.
+    The values are staged while they are numbered, so joins know their size and broadcast
+    them only while they are few.
     """
     values = df.select(column).where(F.col(column).isNotNull()).distinct()
-    coded = assign_ids(values, [column], "code", start=0)
-    return stage(coded.select(column, "code"), "labels")
+    return assign_ids(values, [column], "code", start=0).select(column, "code")
 
 
 def encode(df: DataFrame, labels: DataFrame, column: str, code: str | None = None) -> DataFrame:

@@ -9,23 +9,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramline.session import planned_bytes, scanned_bytes
-
-# Below this input size a hot key fits one task and the plain join is the better plan.
-SALT_FROM_BYTES = 256 << 20
-# A key is hot from this share of the rows on, so there are at most 1 / share hot keys.
-HOT_SHARE = 0.001
 SKETCH_GROUPS = 256
 KINDS = ("inner", "left", "left_semi", "left_anti")
 
 
-def hot_key_shares(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> dict[int, float]:
+def half_partition(spark) -> float:
+    """The share of the rows that fills half a shuffle partition: from there on a key is hot."""
+    return 0.5 / int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def hot_key_shares(df: DataFrame, keys: Sequence[str], share: float | None = None) -> dict[int, float]:
     """Hash → share of the rows, for the keys that hold at least ``share`` of them.
 
+    ``share`` is half a shuffle partition by default, so it follows the cluster.
+
     One pass over the key columns with frequent-items sketches, merged in two steps. There
     are at most ``1 / share`` entries; a wrong pick only costs some copies, never rows.
     """
-    limit = int(1 / share)
+    share = share or half_partition(df.sparkSession)
+    limit = math.ceil(1 / share)
     tracked = 8 * limit
     hashed = df.select(
         F.xxhash64(*keys).alias("h"), F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("g")
@@ -48,14 +50,15 @@ def spread_join(
     on: Sequence[str],
     how: str = "inner",
     null_safe: bool = False,
-    salt_from_bytes: int = SALT_FROM_BYTES,
+    slices: bool = False,
 ) -> DataFrame:
     """``left`` joined to ``right`` on equal columns; ``how`` is one of ``KINDS``.
 
-    With ``null_safe`` null keys match each other. A right side that Catalyst broadcasts,
-    by its known size, needs no care. Otherwise a large left side is checked for hot keys;
-    the rows of each are dealt out over slices of half a usual partition, and its right rows
-    are copied to those slices. The result equals the plain join.
+    With ``null_safe`` null keys match each other. By default skew is left to adaptive
+    execution, which splits partitions by their measured size. ``slices`` is for plans it
+    cannot split, or sessions without it: the left side is read once for hot keys, the rows of
+    each are dealt out over slices of half a usual partition, and its right rows are copied to
+    those slices. The result equals the plain join; a join of small sides is not worth it.
     """
     if how not in KINDS:
         raise ValueError(f"cannot spread a {how} join")
@@ -65,17 +68,17 @@ def spread_join(
         for k in on
     ]
     hot = {}
-    if not _broadcasts(right) and scanned_bytes(left) >= salt_from_bytes:
+    if slices:
         hot = hot_key_shares(left, on)
     if hot:
-        slices = _slice_table(left.sparkSession, hot)
+        dealt = _slice_table(left.sparkSession, hot)
         # The input partition deals out equal rows too, and a retried task deals alike.
         deal = F.pmod(F.xxhash64(*left.columns), F.col("_slices")) + F.spark_partition_id()
-        left = _with_slices(left, on, slices).withColumn(
+        left = _with_slices(left, on, dealt).withColumn(
             "_slice", F.coalesce(F.pmod(deal, F.col("_slices")), F.lit(0))
         )
         copies = F.sequence(F.lit(0), F.coalesce("_slices", F.lit(1)) - 1)
-        renamed = _with_slices(renamed, [f"_r_{k}" for k in on], slices)
+        renamed = _with_slices(renamed, [f"_r_{k}" for k in on], dealt)
         renamed = renamed.withColumn("_r_slice", F.explode(copies)).drop("_slices")
         match.append(F.col("_slice") == F.col("_r_slice"))
     joined = left.join(renamed, match, how)
@@ -85,8 +88,8 @@ def spread_join(
 def _slice_table(spark, hot):
     """(hash, slices): as many slices as the key fills half partitions.
 
-    At most ``1 / HOT_SHARE`` rows, and the slices add up to at most twice the number of
-    shuffle partitions plus one per key, which bounds the copies on the right.
+    At most two rows for each shuffle partition, and the slices add up to at most twice the
+    number of shuffle partitions plus one per key, which bounds the copies on the right.
     """
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     counts = [max(2, math.ceil(2 * part * partitions)) for part in hot.values()]
@@ -97,7 +100,3 @@ def _with_slices(df, keys, slices):
     hashed = df.withColumn("_hash", F.xxhash64(*keys))
     return hashed.join(F.broadcast(slices), "_hash", "left").drop("_hash")
 
-
-def _broadcasts(df):
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return 0 <= planned_bytes(df) <= limit

@@ -45,10 +45,13 @@ IMAGE_CLASS = "img-box"
 def describe_events(events: DataFrame, pages: DataFrame) -> DataFrame:
     """Landed events with ``ALT``, the better image caption of their page.
 
-    ``pages`` holds fetched documents (url, html). A url fetched twice counts once.
+    ``pages`` holds fetched documents (url, html). A url fetched twice counts once. Pages are
+    narrowed to the events' homepages before any is parsed.
     """
-    found = pages.select(
-        F.col("url").alias("HMPG_ADDR"),
+    wanted = stage(events.select("HMPG_ADDR").where("HMPG_ADDR IS NOT NULL").distinct(), "homepages")
+    fetched = pages.withColumnRenamed("url", "HMPG_ADDR")
+    found = spread_join(fetched, wanted, ["HMPG_ADDR"], "left_semi").select(
+        "HMPG_ADDR",
         markup.first_captions(F.col("html"), [CONTENT_CLASS, IMAGE_CLASS]).alias("found"),
     )
     alt = text.pick_description(F.get("found", F.lit(0)), F.get("found", F.lit(1)))
@@ -141,12 +144,13 @@ def prepare_load(
     batch_date: dt.date,
     table: str = "event",
     schema: str | None = None,
+    mode: str | None = None,
 ) -> tuple[str, DataFrame, DataFrame]:
     """(mode, events, texts of the pages to summarise), both frames staged.
 
-    The texts go out as ``summary_requests``; the answers come back to ``apply_summaries``.
+    Without ``mode`` the state of ``table`` decides. The texts go out as ``summary_requests``; the answers come back to ``apply_summaries``.
     """
-    mode = load_mode(spark, table, schema)
+    mode = mode or load_mode(spark, table, schema)
     events = refine_events(describe_events(raw, pages), batch_date, mode)
     if mode == FULL:
         candidates = full_load_candidates(events, batch_date)

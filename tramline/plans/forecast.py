@@ -73,13 +73,16 @@ def train_daily(
     target: str = "count",
     trees: int = 100,
     depth: int = 20,
-    max_bins: int = 1024,
+    max_bins: int | None = None,
     seed: int = 2025,
+    tasks: int = 64,
 ) -> DailyModel:
     """Fit the forest on a hash-chosen 70 % of the rows and score it on the rest.
 
     ``target="rank"`` learns the dense code of the count instead of the count itself.
-    Codes enter as plain numbers, so ``max_bins`` bounds split candidates only.
+    Codes enter as plain numbers, so ``max_bins`` bounds split candidates only; by default
+    every code can be one. A seed gives one forest as long as ``tasks``, the number of parts
+    that the rows are placed in by key, stays the same; layout, files and cores do not matter.
     """
     if target not in ("count", "rank"):
         raise ValueError(f"unknown target {target}")
@@ -91,16 +94,12 @@ def train_daily(
         coded = encode(coded, table, column)
     if target == "rank":
         coded = encode(coded, fit_labels(rows, TARGET), TARGET)
-    # The learner reads its input once per tree level: the joins above run once, compact rows
-    # are kept, and their placement by key makes a seed give one model on any input layout.
-    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, rows.rdd.getNumPartitions())
-    coded = stage(
-        _assembled(coded)
-        .select("_key", "_train", "features", F.col(TARGET).cast("double"))
-        .repartition(tasks, "_key")
-        .sortWithinPartitions("_key"),
-        "features",
-    )
+    if max_bins is None:
+        max_bins = max(32, *(table.count() for table in labels.values()))
+    # The learner reads its input once per tree level: the joins above run once and compact rows
+    # are kept, each task's in one file, which is one partition again when they are read.
+    coded = stage(_assembled(coded).select("_key", "_train", "features", F.col(TARGET).cast("double")), "features")
+    coded = coded.repartition(tasks, "_key").sortWithinPartitions("_key")
     forest = RandomForestRegressor(
         labelCol=TARGET,
         numTrees=trees,

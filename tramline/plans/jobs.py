@@ -20,6 +20,10 @@ from tramline.sources.districts import district_grid
 from tramline.sources.tables import FULL, load_mode, read_table
 
 
+# Table properties of a finished draft.
+MODE, BATCH = "tramline.mode", "tramline.batch"
+
+
 def city_batch(instant: dt.datetime) -> dt.datetime:
     """City wall-clock time of a batch instant; an instant without zone is UTC."""
     aware = instant if instant.tzinfo else instant.replace(tzinfo=dt.timezone.utc)
@@ -49,9 +53,14 @@ def load_last_month(
 
 
 def load_last_year(
-    spark: SparkSession, landing: str, instant: dt.datetime, table: str = "subway_data_prev_year"
+    spark: SparkSession,
+    landing: str,
+    instant: dt.datetime,
+    table: str = "subway_data_prev_year",
+    suffix: str = "NOPE",
 ) -> int:
-    raw = landed.last_year_rows(spark, landing, city_batch(instant).date())
+    """``suffix`` ends the hour columns' names; months that lack them all fail the job."""
+    raw = landed.last_year_rows(spark, landing, city_batch(instant).date(), suffix)
     return replace_partitions(ridership.refine_hourly(raw), table, schemas.HOURLY, "use_month")
 
 
@@ -90,14 +99,29 @@ def draft_events(
     """First event job: drafts, page texts and the requests for the summary service.
 
     ``pages`` is the table of fetched documents (url, html). A full load while ``table``
-    is missing, else an incremental one.
+    is missing, else an incremental one: decided once per batch time and kept with the draft,
+    so the batch may be drafted and published again after it has filled ``table``.
     """
-    day = city_batch(instant).date()
-    raw, fetched = landed.event_rows(spark, landing, day), read_table(spark, pages)
-    _, drafts, texts = events.prepare_load(spark, raw, fetched, day, table)
+    batch = city_batch(instant)
+    known = _draft_batch(spark, table)
+    mode = known[0] if known and known[1] == batch.isoformat() else load_mode(spark, table)
+    raw, fetched = landed.event_rows(spark, landing, batch.date()), read_table(spark, pages)
+    _, drafts, texts = events.prepare_load(spark, raw, fetched, batch.date(), table, mode=mode)
     replace_table(drafts, f"{table}_draft", schemas.EVENT)
     replace_table(texts, f"{table}_text", schemas.EVENT_TEXT)
-    return replace_table(events.summary_requests(texts), f"{table}_request", schemas.EVENT_REQUEST)
+    rows = replace_table(events.summary_requests(texts), f"{table}_request", schemas.EVENT_REQUEST)
+    spark.sql(
+        f"ALTER TABLE {table}_draft SET TBLPROPERTIES ('{MODE}' = '{mode}', '{BATCH}' = '{batch.isoformat()}')"
+    )
+    return rows
+
+
+def _draft_batch(spark, table):
+    """(mode, batch time) of the finished draft, None if there is none."""
+    if not spark.catalog.tableExists(f"{table}_draft"):
+        return None
+    found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}_draft").collect()}
+    return (found[MODE], found[BATCH]) if MODE in found else None
 
 
 def publish_events(
@@ -109,14 +133,19 @@ def publish_events(
 ) -> int:
     """Second event job: answers (event_id, answer) go into the drafts.
 
-    A full load fills ``table``; an incremental one the sync table and the ledger.
+    A full load fills ``table``; an incremental one the sync table and the ledger. Mode and
+    batch time are those of the draft, whatever tables there are by now; a draft of another
+    batch time, or one that did not finish, is an error.
     """
+    draft = _draft_batch(spark, table)
+    if draft is None or draft[1] != city_batch(instant).isoformat():
+        raise LookupError(f"{table}_draft is not the finished draft of {city_batch(instant)}")
     final = events.apply_summaries(
         read_table(spark, f"{table}_draft"),
         read_table(spark, f"{table}_text"),
         read_table(spark, responses),
     )
-    if load_mode(spark, table) == FULL:
+    if draft[0] == FULL:
         return replace_table(final, table, schemas.EVENT)
     rows = replace_table(final, f"{table}_sync", schemas.EVENT)
     append_ledger(spark, ledger, city_batch(instant))

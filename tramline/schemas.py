@@ -77,12 +77,17 @@ def hourly_row(suffix: str = "NOPE") -> T.StructType:
     return T.StructType(fields)
 
 
+# What an answer without data has in place of, or inside, the service's envelope.
+ERROR = [T.StructField("RESULT", _struct("CODE string, MESSAGE string"))]
+
+
 def envelope(service: str, row: T.StructType) -> T.StructType:
     """``{service: {list_total_count, row: [...]}}``, the shape of one landed response."""
     body = T.StructType(
         [
             T.StructField("list_total_count", T.LongType()),
             T.StructField("row", T.ArrayType(row)),
+            *ERROR,
         ]
     )
     return T.StructType([T.StructField(service, body)])

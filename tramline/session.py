@@ -49,14 +49,14 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir``.
 
-    A machine-local folder is used only on a local master, where every task runs on
-    this machine anyway.
+    Only a master that runs all tasks in this process (``local[…]``) may do without; its
+    stages then go to a temporary folder. Any other master fails.
     """
     global _local_folder
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if _local_folder is None:
         _local_folder = tempfile.mkdtemp(prefix="tramline-")

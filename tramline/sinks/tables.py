@@ -50,21 +50,30 @@ def replace_partitions(
 
 
 def append_ledger(spark: SparkSession, table: str, executed: dt.datetime, status: int = 0) -> None:
-    """Append the next batch number with its (city, minute) time to the ledger."""
+    """Append the next batch number with its (city, minute) time to the ledger.
+
+    A batch time and status that the ledger already has is not entered again.
+    """
     exists = spark.catalog.tableExists(table)
     ledger = spark.table(table) if exists else spark.createDataFrame([], BATCH_STATUS)
-    next_ledger_entry(ledger, executed, status).write.mode("append").saveAsTable(table)
+    entry = next_ledger_entry(ledger, executed, status)
+    entered = ledger.where((F.col("execute_time") == _minute(executed)) & (F.col("status") == status))
+    if entered.isEmpty():
+        entry.write.mode("append").saveAsTable(table)
 
 
 def next_ledger_entry(ledger: DataFrame, executed: dt.datetime, status: int = 0) -> DataFrame:
-    minute = executed.replace(second=0, microsecond=0, tzinfo=None)
     return next_number(ledger, "batch_id").select(
         F.col("next_batch_id").cast("long").alias("batch_id"),
-        F.lit(minute).cast("timestamp_ntz").alias("execute_time"),
+        _minute(executed).alias("execute_time"),
         F.lit(status).alias("status"),
     )
 
 
+def _minute(executed):
+    return F.lit(executed.replace(second=0, microsecond=0, tzinfo=None)).cast("timestamp_ntz")
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, schema: T.StructType, mode: str, **options):
     """The same pinned rows to a database table; dates become timestamps there."""
     rows = conform(df, schema)

@@ -3,13 +3,16 @@
 ``ymd`` is the day collected (events, stations: each collection is complete) or the day of
 service (daily ridership), ``ym`` the month of service, ``base`` a forecast's issue time.
 
-All reads carry an explicit schema. Day and month folders are partition columns, so a
-read of some days lists and opens only those.
+All reads carry an explicit schema. A read of some days or months lists and opens only their
+folders; one that has not landed is empty. An answer without the service's envelope fails the
+read, unless it says that there is no data, and so do, where rows of a folder are read, folders
+with fewer rows than the service declared.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +27,7 @@ STATIONS = "subwayStationMaster"
 DAILY_RIDERS = "CardSubwayStatsNew"
 HOURLY_RIDERS = "CardSubwayTime"
 FORECAST = "getUltraSrtFcst"
+NO_DATA = "INFO-200"
 
 
 def read_responses(
@@ -33,20 +37,42 @@ def read_responses(
     row: T.StructType,
     folder: str | None = None,
     multi_line: bool = False,
+    values: Sequence[str] | None = None,
 ) -> DataFrame:
     """Responses as ``list_total_count`` and ``row`` (an array), with the folder column.
 
-    A line that is not the expected JSON fails the read.
+    ``values`` are the folders to read, all by default. A line that is not the expected JSON
+    fails the read, and so does an answer without the envelope; one that says that there is
+    no data counts as an empty response.
     """
-    schema = schemas.envelope(service, row)
+    schema = T.StructType([*schemas.envelope(service, row).fields, *schemas.ERROR])
+    raw = _read_folders(spark, f"{root}/{service}", schema, folder, values, multi_line)
+    code = F.coalesce("RESULT.CODE", F.col(f"{service}.RESULT.CODE"))
+    message = F.concat(F.lit(f"{service}: no rows but code "), F.coalesce(code, F.lit("none")))
+    known = F.col(f"{service}.list_total_count").isNotNull() | F.col(f"{service}.row").isNotNull()
+    checked = F.when(known, F.col(service)).when(code != NO_DATA, F.raise_error(message))
+    checked = checked.when(code.isNull(), F.raise_error(message))
+    return raw.withColumn("_answer", checked).select(
+        F.when(known, F.col("_answer.list_total_count")).otherwise(F.lit(0)).alias("list_total_count"),
+        F.col("_answer.row").alias("row"),
+        *([folder] if folder else []),
+    )
+
+
+def _read_folders(spark, path, schema, folder, values, multi_line=False):
+    """Scan of ``path``; with ``values`` of those ``folder=value`` folders only that exist."""
     if folder:
         schema = T.StructType([*schema.fields, T.StructField(folder, T.StringType())])
-    raw = (
-        spark.read.schema(schema)
-        .options(mode="FAILFAST", multiLine=str(multi_line).lower())
-        .json(f"{root}/{service}")
-    )
-    return raw.select(f"{service}.*", *([folder] if folder else []))
+    reader = spark.read.schema(schema).options(mode="FAILFAST", multiLine=str(multi_line).lower())
+    if values is None:
+        return reader.json(path)
+    paths = [p for v in values if _exists(spark, p := f"{path}/{folder}={v}")]
+    return reader.option("basePath", path).json(paths) if paths else spark.createDataFrame([], schema)
+
+
+def _exists(spark, path):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
 
 
 def rows_of(responses: DataFrame) -> DataFrame:
@@ -62,6 +88,18 @@ def completeness(responses: DataFrame, folder: str | None = None) -> DataFrame:
     )
 
 
+def complete_rows(responses: DataFrame, folder: str) -> DataFrame:
+    """``rows_of`` complete folders; fails when one has fewer rows than it declares.
+
+    The counts take one pass over the responses of the folders read, before the rows are used.
+    """
+    short = incomplete(responses, folder).orderBy(folder).take(5)
+    if short:
+        found = ", ".join(f"{r[folder]}: {r.collected} of {r.declared}" for r in short)
+        raise ValueError(f"incomplete landing ({found})")
+    return rows_of(responses)
+
+
 def incomplete(responses: DataFrame, folder: str | None = None) -> DataFrame:
     """Folders whose collected rows fall short of what the service declared."""
     counts = completeness(responses, folder)
@@ -85,15 +123,14 @@ def station_rows(
 def _collected(spark, root, service, row, batch_date):
     if batch_date is None:
         return rows_of(read_responses(spark, root, service, row))
-    responses = read_responses(spark, root, service, row, "ymd")
-    return rows_of(responses.where(F.col("ymd") == batch_date.strftime("%Y%m%d")))
+    day = batch_date.strftime("%Y%m%d")
+    return complete_rows(read_responses(spark, root, service, row, "ymd", values=[day]), "ymd")
 
 
 def daily_rows(spark: SparkSession, root: str, batch_date: dt.date, lag_days: int = 4) -> DataFrame:
     """Ridership of the one day that is published on the batch date."""
-    day = batch_date - dt.timedelta(days=lag_days)
-    responses = read_responses(spark, root, DAILY_RIDERS, schemas.DAILY_ROW, "ymd")
-    return rows_of(responses.where(F.col("ymd") == day.strftime("%Y%m%d")))
+    day = (batch_date - dt.timedelta(days=lag_days)).strftime("%Y%m%d")
+    return complete_rows(read_responses(spark, root, DAILY_RIDERS, schemas.DAILY_ROW, "ymd", values=[day]), "ymd")
 
 
 def last_month_rows(spark: SparkSession, root: str, batch_date: dt.date) -> DataFrame:
@@ -101,20 +138,27 @@ def last_month_rows(spark: SparkSession, root: str, batch_date: dt.date) -> Data
 
     Month and year both follow from the shifted date, so January reads last December.
     """
-    days = dates.previous_month_dates(F.lit(batch_date))
-    responses = read_responses(spark, root, DAILY_RIDERS, schemas.DAILY_ROW, "ymd")
-    first, last = dates.day_key(F.element_at(days, 1)), dates.day_key(F.element_at(days, -1))
-    return rows_of(responses.where(F.col("ymd").between(first, last)))
+    first = (batch_date.replace(day=1) - dt.timedelta(days=1)).replace(day=1)
+    days = [(first + dt.timedelta(days=i)).strftime("%Y%m%d") for i in range(31)]
+    days = [d for d in days if d.startswith(first.strftime("%Y%m"))]
+    return complete_rows(read_responses(spark, root, DAILY_RIDERS, schemas.DAILY_ROW, "ymd", values=days), "ymd")
 
 
 def last_year_rows(
     spark: SparkSession, root: str, batch_date: dt.date, suffix: str = "NOPE"
 ) -> DataFrame:
-    """Hourly station months of the year before the batch date."""
-    months = dates.previous_year_months(F.lit(batch_date))
-    responses = read_responses(spark, root, HOURLY_RIDERS, schemas.hourly_row(suffix), "ym")
-    first, last = dates.month_key(F.element_at(months, 1)), dates.month_key(F.element_at(months, -1))
-    return rows_of(responses.where(F.col("ym").between(first, last)))
+    """Hourly station months of the year before the batch date.
+
+    ``suffix`` ends the hour columns' names. A row that has none of them fails the read: its
+    columns are named otherwise.
+    """
+    months = [f"{batch_date.year - 1}{month:02}" for month in range(1, 13)]
+    schema = schemas.hourly_row(suffix)
+    rows = complete_rows(read_responses(spark, root, HOURLY_RIDERS, schema, "ym", values=months), "ym")
+    hours = [c for c in rows.columns if c.startswith("HR_")]
+    message = F.lit(f"a row has no HR_…_{suffix} column")
+    checked = F.when(F.coalesce(*hours).isNull(), F.raise_error(message)).otherwise(F.col("USE_MM"))
+    return rows.withColumn("USE_MM", checked)
 
 
 def forecast_items(
@@ -124,16 +168,14 @@ def forecast_items(
 
     Forecasts land under ``base=<yyyyMMddHHmm>``.
     """
-    base = T.StructField("base", T.StringType())
-    raw = (
-        spark.read.schema(T.StructType([*schemas.forecast_envelope().fields, base]))
-        .option("mode", "FAILFAST")
-        .json(f"{root}/{FORECAST}")
-    )
+    values = None
     if instant:
         at = F.lit(instant.replace(tzinfo=None)).cast("timestamp_ntz")
-        raw = raw.where(F.col("base") == F.concat(*dates.forecast_base(at)))
-    return raw.select(F.inline("response.body.items.item"))
+        values = [spark.range(1).select(F.concat(*dates.forecast_base(at))).first()[0]]
+    raw = _read_folders(spark, f"{root}/{FORECAST}", schemas.forecast_envelope(), "base", values)
+    items = F.col("response.body.items.item")
+    checked = F.when(items.isNull(), F.raise_error(F.lit(f"{FORECAST}: a response without items"))).otherwise(items)
+    return raw.select(F.inline(checked))
 
 
 def json_fields(text: DataFrame, column: str, ddl: str, *paths: str) -> DataFrame:

@@ -36,7 +36,12 @@ def read_jdbc(
     partitions: int = 1,
     **options: str,
 ) -> DataFrame:
-    """Scan of a database table, split into ranges of a numeric or date column."""
+    """Scan of a database table, split into ranges of a numeric or date column.
+
+    Column and bounds come together; without them one task reads the whole table.
+    """
+    if (partition_column is None) != (bounds is None) or (partitions > 1 and not partition_column):
+        raise ValueError("a split needs partition_column, bounds and partitions")
     reader = spark.read.format("jdbc").options(url=url, dbtable=table, **options)
     if partition_column and bounds:
         reader = reader.options(

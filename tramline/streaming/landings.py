@@ -7,6 +7,8 @@ nor repeats rows.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,14 +32,16 @@ def daily_stream(spark: SparkSession, root: str, files_per_batch: int = 10_000)
 def append_landings(spark: SparkSession, root: str, table_path: str, name: str) -> None:
     """Drain all new files into the parquet table at ``table_path``, by service date.
 
-    ``name`` keys the checkpoint in the shared folder; keep it for the life of the table.
+    ``name`` and ``table_path`` key the checkpoint in the shared folder; keep both for the life
+    of the table.
     """
+    place = hashlib.sha256(table_path.rstrip("/").encode()).hexdigest()[:16]
     query = (
         daily_stream(spark, root)
         .writeStream.format("parquet")
         .partitionBy("service_date")
         .option("path", table_path)
-        .option("checkpointLocation", f"{shared_folder(spark).rstrip('/')}/landings-{name}")
+        .option("checkpointLocation", f"{shared_folder(spark).rstrip('/')}/landings-{name}-{place}")
         .trigger(availableNow=True)
         .start()
     )

@@ -7,9 +7,9 @@ columns a job reads. Every query runs over its whole tables.
 
 from __future__ import annotations
 
-from tramline.workloads import calendar, events, landings, loads, ridership, weather
+from tramline.workloads import calendar, events, landings, loads, ridership, warehouse, weather
 
-MODULES = (ridership, weather, events, loads, landings, calendar)
+MODULES = (ridership, weather, events, loads, landings, warehouse, calendar)
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 SQL = {name: sql for module in MODULES for name, sql in module.SQL.items()}

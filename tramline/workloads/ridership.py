@@ -112,21 +112,22 @@ SELECT *, round(CAST(total AS DOUBLE) / total_period, 9) AS usage_ratio FROM bot
 """
 
 
+# Every event boards or alights.
+RIDE_SQL = "CASE WHEN event_type IN ('view', 'signup') THEN 'ON' ELSE 'OFF' END"
+
+
 def wide_hours(spark, sf_dir):
-    """Views (ON) and clicks (OFF) per user and weekday, one column pair per hour."""
+    """Views and signups (ON), all other events (OFF) per user and weekday, a column pair per hour."""
     events = table(spark, sf_dir, "events")
     ids = [
         dates.month_key(F.col("ts")).alias("USE_MM"),
         F.col("user_id").cast("string").alias("STTN"),
         F.date_format("ts", "EEE").alias("SBWY_ROUT_LN_NM"),
     ]
-    rides = {"ON": "view", "OFF": "click"}
     counts = [
-        F.count_if((F.hour("ts") == hour) & (F.col("event_type") == kind)).alias(
-            f"HR_{hour}_GET_{ride}_NOPE"
-        )
+        F.count_if((F.hour("ts") == hour) & (F.expr(RIDE_SQL) == ride)).alias(f"HR_{hour}_GET_{ride}_NOPE")
         for hour in range(24)
-        for ride, kind in rides.items()
+        for ride in ("ON", "OFF")
     ]
     return events.groupBy(*ids).agg(*counts)
 
@@ -136,14 +137,14 @@ def hourly_melt(spark, sf_dir):
 
 
 QUERIES["hourly_melt"] = hourly_melt
-SQL["hourly_melt"] = """
+SQL["hourly_melt"] = f"""
 WITH ids AS (
   SELECT DISTINCT strftime(ts, '%Y%m') AS use_month, user_id, strftime(ts, '%a') AS line
   FROM events),
 hits AS (
   SELECT strftime(ts, '%Y%m') AS use_month, user_id, strftime(ts, '%a') AS line, hour(ts) AS h,
-         count(*) FILTER (event_type = 'view') AS get_on,
-         count(*) FILTER (event_type = 'click') AS get_off
+         count(*) FILTER ({RIDE_SQL} = 'ON') AS get_on,
+         count(*) FILTER ({RIDE_SQL} = 'OFF') AS get_off
   FROM events GROUP BY ALL)
 SELECT ids.use_month, CAST(ids.user_id AS VARCHAR) || '역' AS name, ids.line,
        CAST(hours.h AS INTEGER) AS hour, coalesce(get_on, 0) AS get_on,
@@ -157,13 +158,13 @@ LEFT JOIN hits ON hits.use_month = ids.use_month AND hits.user_id = ids.user_id
 QUERIES["hourly_unpivot"] = lambda spark, sf_dir: reshape.melt_hours(
     wide_hours(spark, sf_dir), ["USE_MM", "STTN", "SBWY_ROUT_LN_NM"]
 )
-SQL["hourly_unpivot"] = """
+SQL["hourly_unpivot"] = f"""
 WITH ids AS (
   SELECT DISTINCT strftime(ts, '%Y%m') AS m, user_id, strftime(ts, '%a') AS line FROM events),
 hits AS (
   SELECT strftime(ts, '%Y%m') AS m, user_id, strftime(ts, '%a') AS line, hour(ts) AS h,
-         CASE event_type WHEN 'view' THEN 'ON' ELSE 'OFF' END AS ride, count(*) AS riders
-  FROM events WHERE event_type IN ('view', 'click') GROUP BY ALL)
+         {RIDE_SQL} AS ride, count(*) AS riders
+  FROM events GROUP BY ALL)
 SELECT ids.m AS "USE_MM", CAST(ids.user_id AS VARCHAR) AS "STTN", ids.line AS "SBWY_ROUT_LN_NM",
        CAST(hours.h AS INTEGER) AS hour, rides.ride, coalesce(riders, 0) AS riders
 FROM ids CROSS JOIN range(24) AS hours(h) CROSS JOIN (VALUES ('ON'), ('OFF')) AS rides(ride)
@@ -173,23 +174,22 @@ LEFT JOIN hits ON hits.m = ids.m AND hits.user_id = ids.user_id AND hits.line =
 
 
 def long_rides(spark, sf_dir):
-    """Views and clicks as ON and OFF rows, folded per user and hour."""
-    ride = F.when(F.col("event_type") == "view", "ON").when(F.col("event_type") == "click", "OFF")
+    """All events as ON and OFF rows, folded per user and hour."""
     long = table(spark, sf_dir, "events").select(
         "user_id",
         F.hour("ts").alias("hour"),
-        ride.alias("ride"),
+        F.expr(RIDE_SQL).alias("ride"),
         F.round(F.col("value") * 100).cast("long").alias("riders"),
     )
     return reshape.fold_rides(long, ["user_id"])
 
 
 QUERIES["ride_fold"] = long_rides
-SQL["ride_fold"] = """
+SQL["ride_fold"] = f"""
 SELECT user_id, CAST(hour(ts) AS INTEGER) AS hour,
-       CAST(sum(CASE WHEN event_type = 'view' THEN CAST(round(value * 100) AS BIGINT) ELSE 0 END)
+       CAST(sum(CASE WHEN {RIDE_SQL} = 'ON' THEN CAST(round(value * 100) AS BIGINT) ELSE 0 END)
             AS BIGINT) AS get_on,
-       CAST(sum(CASE WHEN event_type = 'click' THEN CAST(round(value * 100) AS BIGINT) ELSE 0 END)
+       CAST(sum(CASE WHEN {RIDE_SQL} = 'OFF' THEN CAST(round(value * 100) AS BIGINT) ELSE 0 END)
             AS BIGINT) AS get_off
 FROM events GROUP BY ALL
 """
@@ -365,16 +365,20 @@ def ride_counts(df, day, line, name):
     ).agg(F.count("*").alias("get_on_d"))
 
 
-def rf_forecast(spark, sf_dir):
-    """Train on order and shipment counts per day, then forecast the batch date."""
+def forest(spark, sf_dir):
+    """A model of order and shipment counts per day."""
     monthly = ride_counts(
         table(spark, sf_dir, "orders"), "o_orderdate", "o_orderstatus", "o_orderpriority"
     )
     daily = ride_counts(
         table(spark, sf_dir, "lineitem"), "l_shipdate", "l_linestatus", "l_returnflag"
     )
-    model = forecast.train_daily(forecast.training_rows(monthly, daily), depth=8)
-    return forecast.predict_daily(model, BATCH_DATE)
+    return forecast.train_daily(forecast.training_rows(monthly, daily))
+
+
+def rf_forecast(spark, sf_dir):
+    """Train on order and shipment counts per day, then forecast the batch date."""
+    return forecast.predict_daily(forest(spark, sf_dir), BATCH_DATE)
 
 
 QUERIES["rf_forecast"] = rf_forecast
