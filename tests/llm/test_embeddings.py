@@ -2,9 +2,10 @@ import math
 
 import numpy as np
 import pytest
+from compare import connect, differences
 
 from tramline.llm import embeddings
-from tramline.llm.queries import QUERIES
+from tramline.llm.queries import QUERIES, SQL
 
 
 def brute(rows, cosine):
@@ -35,6 +36,10 @@ def result(df):
     return {r.vec_id: (r.n_links, r.component_id) for r in df.collect()}
 
 
+def test_query_equals_sql(spark, sf_dir):
+    assert differences(QUERIES["op4_embedding_near_dedup"](spark, sf_dir), connect(sf_dir), SQL["op4_embedding_near_dedup"]) is None
+
+
 def test_query_equals_brute_force(spark, sf_dir):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
     df = QUERIES["op4_embedding_near_dedup"](spark, sf_dir)

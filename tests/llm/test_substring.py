@@ -2,10 +2,11 @@ import hashlib
 import random
 
 import pytest
+from compare import connect, differences
 from conftest_llm import words
 
 from tramline.llm import substring
-from tramline.llm.queries import QUERIES
+from tramline.llm.queries import QUERIES, SQL
 
 
 def brute(docs, window=20):
@@ -26,6 +27,10 @@ def brute(docs, window=20):
     return out
 
 
+def test_query_equals_sql(spark, sf_dir):
+    assert differences(QUERIES["op9_substring_dedup"](spark, sf_dir), connect(sf_dir), SQL["op9_substring_dedup"]) is None
+
+
 def test_query_equals_brute_force(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
     df = QUERIES["op9_substring_dedup"](spark, sf_dir)

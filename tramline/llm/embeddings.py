@@ -370,3 +370,22 @@ def near_duplicates(
         F.coalesce("component_id", "id").alias("component_id"),
     )
     return found.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(False)))
+
+
+SQL = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM vectors x JOIN vectors y ON x.vec_id <> y.vec_id AND len(x.v) = len(y.v)
+  WHERE list_cosine_similarity(x.v, y.v) >= 0.95),
+reached AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a),
+groups AS (SELECT a AS vec_id, min(b) AS component_id FROM reached GROUP BY a),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM groups LEFT JOIN counts USING (vec_id)
+"""

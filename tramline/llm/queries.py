@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 from tramline.llm import decontam, embeddings, langid, lines, lm, packing, secrets, simhash, substring, warc
 from tramline.workloads.tables import table
 
-SQL: dict[str, str] = {"op6_warc_revisits": warc.SQL}
+SQL: dict[str, str] = {
+    "op4_embedding_near_dedup": embeddings.SQL,
+    "op6_warc_revisits": warc.SQL,
+    "op9_substring_dedup": substring.SQL,
+}
 
 
 def tokenizer_path():

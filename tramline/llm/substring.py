@@ -271,3 +271,30 @@ def remove_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     schema = "id long, n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept_text string"
     return rows.mapInArrow(keep, schema).withColumnRenamed("id", id_col)
+
+
+SQL = r"""
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+word AS (
+  SELECT doc_id, len(words) AS n, unnest(range(1, len(words) + 1)) AS pos, unnest(words) AS word FROM split),
+run AS (
+  SELECT doc_id, n, pos, word,
+         string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS run
+  FROM word),
+judged AS (
+  SELECT doc_id, n, pos, word, pos + 19 <= n
+         AND row_number() OVER (PARTITION BY run, pos + 19 <= n ORDER BY doc_id, pos) > 1 AS again
+  FROM run),
+covered AS (
+  SELECT doc_id, pos, word, coalesce(bool_or(again) OVER (
+           PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), false) AS gone
+  FROM judged),
+kept AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed,
+         coalesce(string_agg(word, ' ' ORDER BY pos) FILTER (NOT gone), '') AS kept_text
+  FROM covered GROUP BY doc_id)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept_text, '')) AS kept_sha256
+FROM documents LEFT JOIN kept USING (doc_id)
+"""
