@@ -169,6 +169,15 @@ def test_weather_job(spark, tmp_path):
     assert {r[2:] for r in rows} == expected | {("0600", "강남구", "구름많음", None)}
 
 
+@pytest.mark.parametrize("value, want", [("23", 23), ("23.5", 24), ("-0.4", 0), ("-", None), (None, None), ("1e99", None)])
+def test_temperatures_are_rounded(spark, value, want):
+    items = spark.createDataFrame(
+        [("20250417", "0600", "g", "T1H", value), ("20250417", "0600", "g", "PTY", "1")],
+        "fcstDate string, fcstTime string, gu string, category string, fcstValue string",
+    )
+    assert [r.temperture for r in refine_weather(items).collect()] == [want]
+
+
 def test_weather_slots_without_key_match_each_other(spark):
     ddl = "fcstDate string, fcstTime string, gu string, category string, fcstValue string"
     rows = [(None, "0600", "a", "SKY", "1"), (None, "0600", "a", "T1H", "9"), (None, "0600", "a", "T1H", "8")]

@@ -24,11 +24,12 @@ def district_items(items: DataFrame, grid: DataFrame) -> DataFrame:
 def refine_weather(items: DataFrame, order: Sequence[str] = ()) -> DataFrame:
     """One row per notable weather item with its slot's temperature, null if unknown.
 
-    A slot may keep several statuses, and null slot parts match each other. ``order``
-    fixes the numbering; by default slot, status and temperature.
+    A slot may keep several statuses, and null slot parts match each other. A temperature with
+    decimals is rounded, one that is no number is unknown. ``order`` fixes the numbering; by
+    default slot, status and temperature.
     """
     temperatures = items.where(F.col("category") == weather.TEMPERATURE).select(
-        *SLOT, F.col("fcstValue").try_cast("int").alias("temperture")
+        *SLOT, F.round(F.col("fcstValue").try_cast("double")).try_cast("int").alias("temperture")
     )
     status = weather.weather_status(F.col("category"), F.col("fcstValue"))
     notable = (
