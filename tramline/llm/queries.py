@@ -107,7 +107,7 @@ def op9_substring_dedup(spark, sf_dir):
 def op10_line_dedup(spark, sf_dir):
     """Every document without lines that occur, or nearly occur, earlier."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    gone = lines.removed_lines(docs)
+    gone = lines.removed_lines(docs, search="minhash")
     found = lines.keep_lines(docs, gone, "doc_id", "text", counts=True)
     return found.select("doc_id", "n_lines", "n_removed", "text")
 
