@@ -88,3 +88,15 @@ def test_edge_rows(spark, docs):
     none = langid.train(table.where("false"))
     assert {r.lang_pred for r in langid.classify(table, none).collect()} == {"und"}
     assert langid.classify(table.where("false"), model).count() == 0
+
+
+def test_pipeline_rejects_junk_and_unlearned_scripts(spark, sf_dir, docs):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(5)
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    junk = [" ".join("".join(rng.choice(list("qxzjkvwpy"), size=7)) for _ in range(40)), "日本語の文章 " * 20, "это русский текст " * 20]
+    planted = table.union(docs([(-1 - i, t, None, "s", len(t)) for i, t in enumerate(junk)]))
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, planted, sf_dir).collect()}
+    assert not kept & {-1, -2, -3}
+    assert kept == {r.doc_id for r in table.collect() if any(c.isalpha() for c in r.text or "")}

@@ -52,6 +52,7 @@ class Model:
     features: int
     landmarks: np.ndarray  # landmark rows, each of length 1, one column a landmark
     weights: np.ndarray  # of the languages, for kernel rows; the last row is the constant
+    least_known: float = 0.0  # share of known n-grams below which no language is meant
 
     def symbols(self, text: str) -> np.ndarray:
         return self._lookup()[code_points(text)]
@@ -80,6 +81,22 @@ class Model:
         """The places of "none" of each length, and of the break alone."""
         return [*self.first_feature, BREAK]
 
+    def known(self, text: str | None) -> float:
+        """Share of the runs of ``degree`` characters, breaks joined, that some landmark has; those of breaks alone do not count.
+
+        Letters outside the alphabet are in no landmark. A text without letters has the share 0.
+        """
+        s = self.symbols(text or "")
+        s = s[np.append(True, (s[1:] != BREAK) | (s[:-1] != BREAK))] if len(s) else s
+        s = np.concatenate([[BREAK], s[int(s[0] == BREAK) :], [BREAK] * int(s[-1] != BREAK)]).astype(np.int64) if len(s) else s
+        size = min(len(self.tables) + 1, len(s))
+        if size == 0 or not (s != BREAK).any():
+            return 0.0
+        gram = np.where(s >= 1, s, 0)
+        for n, table in enumerate(self.tables[: size - 1], 1):
+            gram = np.where(gram[:-1] > 0, table[gram[:-1], s[n:]], 0)
+        return float((gram > 0).mean())
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         found, scores = [], np.zeros(len(texts))
         for at in range(0, len(texts), BATCH):
@@ -149,6 +166,9 @@ def fit(texts: list[str], labels: list[str], degree: int, landmarks: int, ridge:
     penalty[-1, -1] = 1e-9
     solved = np.linalg.solve(phi.T @ (phi * share[:, None]) + penalty, phi.T @ (target * share[:, None]))
     model.landmarks = np.ascontiguousarray(marks.T)
+    rest = set(range(len(texts))) - set(chosen)
+    if rest:  # three quarters of what nearly all labelled texts have that gave no n-grams
+        model.least_known = 0.75 * float(np.quantile([model.known(texts[i]) for i in rest], 0.01))
     model.weights = np.vstack([half @ solved[:-1], solved[-1:]])
     return model
 
@@ -173,14 +193,14 @@ def train(
 
 
 def classify(
-    docs: DataFrame, model: Model, text_col: str = "text", language_col: str = "lang_pred", score_col: str = "score"
+    docs: DataFrame, model: Model, text_col: str = "text", language_col: str = "lang_pred", score_col: str = "score", known_col: str | None = None
 ) -> DataFrame:
     """``docs`` with the predicted language and its score (0 to 1) in two more columns.
 
-    Only ``text_col`` is read for it. A text that is null, empty or without letters is "und" with
+    ``known_col`` adds the share of known n-grams (``Model.known``). Only ``text_col`` is read for it. A text that is null, empty or without letters is "und" with
     score 0. All rows and columns stay; the added names must be new.
     """
-    names = [*docs.columns, language_col, score_col]
+    names = [*docs.columns, language_col, score_col, *([known_col] if known_col else [])]
     shared = docs.sparkSession.sparkContext.broadcast(model)
     position = docs.columns.index(text_col)
 
@@ -189,8 +209,11 @@ def classify(
         for batch in batches:
             columns = pa.RecordBatch.from_arrays(batch.columns, [f"c{i}" for i in range(batch.num_columns)])
             for part in text_slices([columns], f"c{position}"):
-                found, scores = model.predict(part.column(position).to_pylist())
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.string()), pa.array(scores)], names)
+                texts = part.column(position).to_pylist()
+                found, scores = model.predict(texts)
+                known = [pa.array([model.known(t) for t in texts], pa.float64())] if known_col else []
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.string()), pa.array(scores), *known], names)
 
     added = [T.StructField(language_col, T.StringType()), T.StructField(score_col, T.DoubleType())]
+    added += [T.StructField(known_col, T.DoubleType())] if known_col else []
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *added]))
