@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tramline.llm import decontam, embeddings, langid, lines, lm, packing, secrets, simhash, substring, warc
+from tramline.llm import bpe, codes, decontam, embeddings, langid, lines, lm, packing, periods, secrets, simhash, substring, warc
+from tramline.session import stage
 from tramline.workloads.tables import table
 
 SQL: dict[str, str] = {
     "op4_embedding_near_dedup": embeddings.SQL,
     "op6_warc_revisits": warc.SQL,
     "op9_substring_dedup": substring.SQL,
+    "op12_vector_codes": codes.SQL,
 }
 
 
@@ -112,4 +114,74 @@ def op10_line_dedup(spark, sf_dir):
     return found.select("doc_id", "n_lines", "n_removed", "text")
 
 
+def rank_file():
+    """Place of the rank file and its split pattern."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def op11_byte_bpe(spark, sf_dir):
+    """Token ids of every document and the bytes they decode to, as digests."""
+    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), *rank_file()), *rank_file())
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_vector_codes(spark, sf_dir):
+    """Codes of every vector, with the error of its label's vectors together."""
+    found, books = codes.compress(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6, keep=("label",))
+    sums = found.groupBy("label").agg(F.sum("error").alias("label_error"))
+    sums = stage(sums.withColumnRenamed("label", "sum_label"), "label_errors")
+    text = ",".join(str(x) for part in books for entry in part for x in entry)
+    return found.join(sums, F.col("label").eqNullSafe(F.col("sum_label"))).select(
+        "vec_id",
+        F.array_join(F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "").alias("code"),
+        "error",
+        "label_error",
+        F.sha2(F.lit(text).cast("binary"), 256).alias("codebooks_sha256"),
+    )
+
+
+def periodic_documents(docs):
+    """``docs`` (doc_id, text) with a tenth of them, by the hash of the id, made periodic from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g"))
+    rows = rows.withColumn("words", F.when(F.col("h") % 10 == 0, words))
+    rows = rows.withColumn("n", F.size("words")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    period = 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))
+    rows = rows.withColumn("p", F.when(F.col("n") > 0, period).cast("int"))
+    tail = F.transform(
+        F.sequence(F.lit(0), F.col("n") - F.col("a") - 1), lambda i: F.get("words", F.col("a") + i % F.col("p"))
+    )
+    changed = F.array_join(F.concat(F.slice("words", 1, F.col("a")), tail), " ")
+    return rows.select("doc_id", F.when(F.col("n") > 0, changed).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark, sf_dir):
+    """Number of runs of every document, its longest, and digests of all runs and of the text without repeats."""
+    docs = periodic_documents(table(spark, sf_dir, "documents"))
+    found = periods.periodic_runs(docs, least=12)
+    best = F.reduce(
+        "runs",
+        F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>"),
+        lambda m, r: F.when(m.isNull() | (r["length"] > m["length"]), r).otherwise(m),
+    )
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *(F.col(f"best.{name}").alias(name) for name in ("start", "length", "period")),
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op")}
