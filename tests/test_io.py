@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import re
 import shutil
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from compare import physical_plan
@@ -13,6 +14,7 @@ from tramline import schemas
 from tramline.plans import ridership
 from tramline.plans.weather import district_items, refine_weather
 from tramline.sinks import tables as sinks
+from tramline.sinks import versions
 from tramline.sources import landed, tables
 from tramline.sources.districts import DISTRICT_GRID, district_grid
 from tramline.streaming.landings import append_landings
@@ -287,10 +289,83 @@ def test_ledger(spark, schema_name):
     sinks.append_ledger(spark, table, when)
     sinks.append_ledger(spark, table, when, status=1)
     sinks.append_ledger(spark, table, when)  # already entered
-    found = sorted(tuple(r) for r in spark.table(table).collect())
+    found = sorted(tuple(r) for r in sinks.read_ledger(spark, table).collect())
     assert found == [(1, dt.datetime(2025, 4, 17, 2, 0), 0), (2, dt.datetime(2025, 4, 17, 2, 0), 1)]
 
 
+def times(spark, *minutes):
+    day = dt.datetime(2025, 4, 17)
+    return spark.createDataFrame([(day + dt.timedelta(minutes=m), 0) for m in minutes], "execute_time timestamp_ntz, status int")
+
+
+def test_batches_are_numbered_without_gaps(spark, schema_name):
+    table = f"{schema_name}.batch_status"
+    assert sinks.enter_batches(times(spark, 5, 3, 3, 4.5), table) == 3
+    assert sinks.enter_batches(times(spark, 1, 3, 9, 4), table) == 2
+    assert sinks.enter_batches(times(spark, 1, 3), table) == 0
+    assert sinks.enter_batches(times(spark), table) == 0
+    found = sorted((r.batch_id, r.execute_time.minute) for r in sinks.read_ledger(spark, table).collect())
+    assert found == [(1, 3), (2, 4), (3, 5), (4, 1), (5, 9)]
+    assert versions.last_version(spark, table) == 2
+
+
+def test_concurrent_runs_share_a_ledger(spark, schema_name):
+    table = f"{schema_name}.batch_status"
+    with ThreadPoolExecutor(4) as pool:
+        runs = [pool.submit(sinks.enter_batches, times(spark, *range(i, i + 6)), table) for i in (0, 2, 4, 4)]
+        assert sum(r.result() for r in runs) == 10
+    found = sorted((r.batch_id, r.execute_time.minute) for r in sinks.read_ledger(spark, table).collect())
+    assert [i for i, _ in found] == list(range(1, 11)) and {m for _, m in found} == set(range(10))
+
+
+def test_a_version_is_committed_once(spark, schema_name):
+    table = f"{schema_name}.batch_status"
+    sinks.enter_batches(times(spark, 1), table)
+    rows = spark.createDataFrame([(2, dt.datetime(2025, 4, 17), 0)], schemas.BATCH_STATUS)
+    first, second = (versions.write_aside(rows, table)[0] for _ in range(2))
+    assert versions.commit_version(spark, table, 2, first)
+    assert not versions.commit_version(spark, table, 2, second)
+    assert sinks.read_ledger(spark, table).count() == 2
+
+
+def test_a_failed_replace_leaves_the_old_rows(spark, schema_name):
+    table = f"{schema_name}.daily"
+    old, new = daily(spark, ("20250101", "1", "a", 1, 1)), daily(spark, *[("20250102", "1", "b", i, i) for i in range(100)])
+    failing = new.withColumn("get_on_d", F.when(F.col("get_on_d") == 77, F.raise_error(F.lit("half way")).cast("int")).otherwise(F.col("get_on_d")))
+    with pytest.raises(Exception, match="half way"):
+        sinks.replace_table(failing.repartition(8), table, schemas.DAILY)
+    assert tables.load_mode(spark, "daily", schema_name) == "init"  # a first load that failed is no load
+    assert sinks.replace_table(old, table, schemas.DAILY) == 1
+    with pytest.raises(Exception, match="half way"):
+        sinks.replace_table(failing.repartition(8), table, schemas.DAILY)
+    assert [r.name for r in spark.table(table).collect()] == ["a"]
+
+
+def test_readers_keep_what_they_planned(spark, schema_name):
+    table = f"{schema_name}.daily"
+    sinks.replace_table(daily(spark, ("20250101", "1", "a", 1, 1)), table, schemas.DAILY)
+    planned = spark.table(table)
+    planned.schema
+    sinks.replace_table(daily(spark, ("20250101", "1", "b", 1, 1)), table, schemas.DAILY)
+    assert [r.name for r in planned.collect()] == ["a"]
+    assert [r.name for r in spark.table(table).collect()] == ["b"]
+    first = versions.properties(spark, table)[versions.PREVIOUS]
+    # a table may be replaced by what is read from it
+    sinks.replace_table(spark.table(table).withColumn("name", F.lit("c")), table, schemas.DAILY)
+    assert [r.name for r in spark.table(table).collect()] == ["c"]
+    gone = spark._jvm.org.apache.hadoop.fs.Path(first)
+    assert not gone.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(gone)
+
+
+def test_replace_of_other_tables(spark, schema_name):
+    table = f"{schema_name}.daily"
+    sinks.replace_partitions(daily(spark, ("20250101", "1", "a", 1, 1)), table, schemas.DAILY, "service_date")
+    sinks.replace_table(daily(spark, ("20250102", "1", "b", 1, 1)), table, schemas.DAILY)
+    assert [tuple(r) for r in spark.table(table).collect()] == [("20250102", "1", "b", 1, 1)]
+    sinks.replace_table(daily(spark), table, schemas.DAILY)
+    assert spark.table(table).count() == 0 and spark.table(table).columns == [f.name for f in schemas.DAILY]
+
+
 def test_landing_stream_reads_each_file_once(spark, rides, tmp_path):
     table, name = str(tmp_path / "table"), f"test-{tmp_path.name}-{dt.datetime.now().timestamp()}"
     append_landings(spark, rides, table, name)

@@ -1,0 +1,109 @@
+"""Tolerant reads: what goes aside, why, and when it is too much."""
+
+import datetime as dt
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tramline import schemas
+from tramline.plans import jobs
+from tramline.sources import landed, quarantine
+
+BATCH = dt.datetime(2025, 4, 16, 17)  # 2025-04-17 in the city: publishes 13 April
+DAY = "20250413"
+
+
+def land(root, day, *lines):
+    folder = root / landed.DAILY_RIDERS / f"ymd={day}"
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / "a.json").write_text("\n".join(x if isinstance(x, str) else json.dumps(x, ensure_ascii=False) for x in lines), encoding="utf-8")
+    return str(root)
+
+
+def ride(name, on=1, day=DAY, **more):
+    return {"USE_YMD": day, "SBWY_ROUT_LN_NM": "1", "SBWY_STNS_NM": name, "GTON_TNOPE": on, "GTOFF_TNOPE": 2, **more}
+
+
+def answer(*rows, total=None):
+    return {landed.DAILY_RIDERS: {"list_total_count": len(rows) if total is None else total, "row": list(rows)}}
+
+
+def split(spark, root, **how):
+    rules = {"bad_USE_YMD": quarantine.not_a_date(F.col("USE_YMD"), "yyyyMMdd")}
+    return quarantine.read_split(spark, root, landed.DAILY_RIDERS, schemas.DAILY_ROW, "ymd", rules=rules, **how)
+
+
+def reasons(found):
+    return sorted((r.folder, ",".join(r.reasons)) for r in found.rejected.collect())
+
+
+def test_reasons(spark, tmp_path):
+    root = land(
+        tmp_path, DAY,
+        answer(ride("a"), ride("b", on="x"), ride("c", day="2025-04-99"), None, ride("d", on="", extra=[1]), ride("e", on="7.0")),
+        '{"CardSubwayStatsNew": {"list_total_count": 1, "row": [',
+        "not json", "", "  ",
+        {"RESULT": {"CODE": "ERROR-500", "MESSAGE": "down"}}, {"other": 1}, [], {landed.DAILY_RIDERS: {"row": "text"}},
+        {"RESULT": {"CODE": landed.NO_DATA}}, answer(),
+    )
+    found = split(spark, root)
+    assert reasons(found) == sorted(
+        (DAY, r) for r in ["bad_GTON_TNOPE", "bad_USE_YMD", "empty_row", *["malformed"] * 3, *["no_envelope"] * 3]
+    ) or reasons(found) == sorted(
+        (DAY, r) for r in ["bad_GTON_TNOPE", "bad_USE_YMD", "empty_row", *["malformed"] * 4, *["no_envelope"] * 2]
+    )
+    good = sorted(found.good.collect(), key=lambda r: r.SBWY_STNS_NM)
+    assert [(r.SBWY_STNS_NM, r.GTON_TNOPE) for r in good] == [("a", 1.0), ("d", None), ("e", 7.0)]
+    assert found.good.schema["GTON_TNOPE"].dataType == schemas.DAILY_ROW["GTON_TNOPE"].dataType
+    assert (found.n_good, found.n_rejected) == (3, 9)
+    record = next(r for r in found.rejected.collect() if r.reasons == ["bad_GTON_TNOPE"])
+    assert json.loads(record.record)["GTON_TNOPE"] == "x" and record.file.endswith("a.json") and record.service == landed.DAILY_RIDERS
+
+
+def test_several_reasons_and_short_folders(spark, tmp_path):
+    land(tmp_path, DAY, answer(ride("a", on="x", day="?"), ride("b"), total=5))
+    land(tmp_path, "20250414", "{")
+    root = land(tmp_path, "20250415", {"RESULT": {"CODE": landed.NO_DATA}})
+    found = split(spark, root)
+    assert reasons(found) == [(DAY, "bad_GTON_TNOPE,bad_USE_YMD"), (DAY, "incomplete"), ("20250414", "incomplete"), ("20250414", "malformed")]
+    assert reasons(split(spark, root, values=["20250415", "20250416"])) == []
+    assert split(spark, root, values=["20250416"]).n_good == 0
+
+
+def test_limit(spark, tmp_path):
+    found = split(spark, land(tmp_path, DAY, answer(*[ride(f"s{i}") for i in range(9)], ride("z", on="x"))))
+    assert found.require(0.1) is found
+    with pytest.raises(quarantine.TooManyRejected, match="1 of 10"):
+        found.require(0.09)
+
+
+def test_job_loads_good_rows_and_keeps_the_others(spark, schema_name, tmp_path):
+    daily, aside = f"{schema_name}.daily", f"{schema_name}.daily_rejected"
+    root = land(tmp_path, DAY, answer(ride("a"), ride("b", on="x")), "{")
+    with pytest.raises(Exception):
+        jobs.load_daily(spark, root, BATCH, daily)
+    with pytest.raises(quarantine.TooManyRejected):
+        jobs.load_daily(spark, root, BATCH, daily, rejected=aside)
+    assert not spark.catalog.tableExists(daily) and spark.table(aside).count() == 3 - 1
+    for _ in range(2):
+        assert jobs.load_daily(spark, root, BATCH, daily, rejected=aside, most_rejected=0.7) == 1
+        assert spark.table(aside).count() == 2
+    # once the landing is mended, the side table no longer lists the day
+    land(tmp_path, DAY, answer(ride("a"), ride("b", on=3)))
+    assert jobs.load_daily(spark, root, BATCH, daily, rejected=aside) == 2
+    assert spark.table(aside).count() == 0
+    assert sorted(r.get_on_d for r in spark.table(daily).collect()) == [1, 3]
+
+
+def test_events_with_bad_dates_go_aside(spark, schema_name, tmp_path):
+    event = {f.name: "1" for f in schemas.EVENT_ROW} | {"STRTDATE": "2025-04-01 00:00:00.0", "END_DATE": "2025-05-01"}
+    rows = [event | {"HMPG_ADDR": "https://a"}, event | {"HMPG_ADDR": "https://b", "END_DATE": "soon"}, event | {"HMPG_ADDR": "https://c", "STRTDATE": ""}]
+    folder = tmp_path / landed.EVENTS / "ymd=20250417"
+    folder.mkdir(parents=True)
+    (folder / "a.json").write_text(json.dumps({landed.EVENTS: {"list_total_count": 3, "row": rows}}))
+    spark.createDataFrame([("https://a", "<p>")], "url string, html string").write.saveAsTable(f"{schema_name}.pages")
+    event, aside = f"{schema_name}.event", f"{schema_name}.event_rejected"
+    jobs.draft_events(spark, str(tmp_path), f"{schema_name}.pages", BATCH, event, rejected=aside, most_rejected=0.5)
+    assert sorted(r.homepage for r in spark.table(f"{event}_draft").collect()) == ["https://a", "https://c"]
+    assert [r.reasons for r in spark.table(aside).collect()] == [["bad_END_DATE"]]

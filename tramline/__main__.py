@@ -17,6 +17,8 @@ FROM_LANDING = {
     "weather": jobs.load_weather,
 }
 
+TOLERANT = ("daily", "last-month", "draft-events")
+
 
 def parser() -> argparse.ArgumentParser:
     main_parser = argparse.ArgumentParser(prog="tramline", description=__doc__)
@@ -41,6 +43,9 @@ def parser() -> argparse.ArgumentParser:
     add_timed("predict")
     add_timed("draft-events", "landing", "pages")
     add_timed("publish-events", "responses")
+    for name in TOLERANT:
+        jobs_of.choices[name].add_argument("--rejected", help="side table for bad lines and rows, which else fail the job")
+        jobs_of.choices[name].add_argument("--most-rejected", type=float, default=0.01, help="share of bad records that fails the job")
     add("follow-daily", "landing", "path", "name")
     return main_parser
 
@@ -48,12 +53,13 @@ def parser() -> argparse.ArgumentParser:
 def run(spark, args) -> object:
     if args.job == "last-year":
         return jobs.load_last_year(spark, args.landing, args.instant, suffix=args.suffix)
+    tolerant = {"rejected": args.rejected, "most_rejected": args.most_rejected} if args.job in TOLERANT else {}
     if args.job in FROM_LANDING:
-        return FROM_LANDING[args.job](spark, args.landing, args.instant)
+        return FROM_LANDING[args.job](spark, args.landing, args.instant, **tolerant)
     if args.job == "predict":
         return jobs.predict_hours(spark, args.instant)
     if args.job == "draft-events":
-        return jobs.draft_events(spark, args.landing, args.pages, args.instant)
+        return jobs.draft_events(spark, args.landing, args.pages, args.instant, **tolerant)
     if args.job == "publish-events":
         return jobs.publish_events(spark, args.responses, args.instant)
     return append_landings(spark, args.landing, args.path, args.name)

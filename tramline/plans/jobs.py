@@ -9,13 +9,14 @@ from __future__ import annotations
 import datetime as dt
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tramline import schemas
 from tramline.functions.dates import CITY_ZONE
 from tramline.plans import events, forecast, ridership, weather
-from tramline.sinks.tables import append_ledger, replace_partitions, replace_table
-from tramline.sources import landed
+from tramline.sinks.tables import append_ledger, replace_covered, replace_partitions, replace_table
+from tramline.sources import landed, quarantine
 from tramline.sources.districts import district_grid
 from tramline.sources.tables import FULL, load_mode, read_table
 
@@ -38,20 +39,53 @@ def load_stations(
 
 
 def load_daily(
-    spark: SparkSession, landing: str, instant: dt.datetime, table: str = "subway_data_daily"
+    spark: SparkSession,
+    landing: str,
+    instant: dt.datetime,
+    table: str = "subway_data_daily",
+    rejected: str | None = None,
+    most_rejected: float = 0.01,
 ) -> int:
-    """The day published on the batch date joins the daily history."""
-    raw = landed.daily_rows(spark, landing, city_batch(instant).date())
+    """The day published on the batch date joins the daily history.
+
+    With ``rejected``, the name of a side table, bad lines and rows go there with their reasons; the
+    job then fails only if they are more than ``most_rejected`` of all, after the side table is written.
+    """
+    day = city_batch(instant).date()
+    if rejected:
+        raw = accepted_daily(spark, landing, landed.published_days(day), rejected, most_rejected)
+    else:
+        raw = landed.daily_rows(spark, landing, day)
     return replace_partitions(ridership.refine_daily(raw), table, schemas.DAILY, "service_date")
 
 
 def load_last_month(
-    spark: SparkSession, landing: str, instant: dt.datetime, table: str = "subway_data_prev_month"
+    spark: SparkSession,
+    landing: str,
+    instant: dt.datetime,
+    table: str = "subway_data_prev_month",
+    rejected: str | None = None,
+    most_rejected: float = 0.01,
 ) -> int:
-    raw = landed.last_month_rows(spark, landing, city_batch(instant).date())
+    """All days of the month before the batch date; ``rejected`` as in ``load_daily``."""
+    day = city_batch(instant).date()
+    if rejected:
+        raw = accepted_daily(spark, landing, landed.last_month_days(day), rejected, most_rejected)
+    else:
+        raw = landed.last_month_rows(spark, landing, day)
     return replace_partitions(ridership.refine_daily(raw), table, schemas.DAILY, "service_date")
 
 
+def accepted_daily(
+    spark: SparkSession, landing: str, days: list[str], rejected: str, most_rejected: float
+) -> DataFrame:
+    """Good ridership rows of some days; the others replace what the side table holds of these days."""
+    rules = {"bad_USE_YMD": quarantine.not_a_date(F.col("USE_YMD"), "yyyyMMdd"), "no_USE_YMD": F.col("USE_YMD").isNull()}
+    split = quarantine.read_split(spark, landing, landed.DAILY_RIDERS, schemas.DAILY_ROW, "ymd", days, rules)
+    replace_covered(split.rejected, rejected, schemas.REJECTED, "folder", days)
+    return split.require(most_rejected).good
+
+
 def load_last_year(
     spark: SparkSession,
     landing: str,
@@ -94,18 +128,29 @@ def predict_hours(
 
 
 def draft_events(
-    spark: SparkSession, landing: str, pages: str, instant: dt.datetime, table: str = "event"
+    spark: SparkSession,
+    landing: str,
+    pages: str,
+    instant: dt.datetime,
+    table: str = "event",
+    rejected: str | None = None,
+    most_rejected: float = 0.01,
 ) -> int:
     """First event job: drafts, page texts and the requests for the summary service.
 
     ``pages`` is the table of fetched documents (url, html). A full load while ``table``
     is missing, else an incremental one: decided once per batch time and kept with the draft,
     so the batch may be drafted and published again after it has filled ``table``.
+    With ``rejected``, events with dates that are none go to that side table, see ``load_daily``.
     """
     batch = city_batch(instant)
     known = _draft_batch(spark, table)
     mode = known[0] if known and known[1] == batch.isoformat() else load_mode(spark, table)
-    raw, fetched = landed.event_rows(spark, landing, batch.date()), read_table(spark, pages)
+    if rejected:
+        raw = accepted_events(spark, landing, batch.date(), rejected, most_rejected)
+    else:
+        raw = landed.event_rows(spark, landing, batch.date())
+    fetched = read_table(spark, pages)
     _, drafts, texts = events.prepare_load(spark, raw, fetched, batch.date(), table, mode=mode)
     replace_table(drafts, f"{table}_draft", schemas.EVENT)
     replace_table(texts, f"{table}_text", schemas.EVENT_TEXT)
@@ -116,6 +161,17 @@ def draft_events(
     return rows
 
 
+def accepted_events(
+    spark: SparkSession, landing: str, day: dt.date, rejected: str, most_rejected: float
+) -> DataFrame:
+    """Good events of a day's collection; the others replace what the side table holds of that day."""
+    rules = {f"bad_{c}": quarantine.not_a_date(F.col(c)) for c in ("STRTDATE", "END_DATE")}
+    folder = day.strftime("%Y%m%d")
+    split = quarantine.read_split(spark, landing, landed.EVENTS, schemas.EVENT_ROW, "ymd", [folder], rules)
+    replace_covered(split.rejected, rejected, schemas.REJECTED, "folder", [folder])
+    return split.require(most_rejected).good
+
+
 def _draft_batch(spark, table):
     """(mode, batch time) of the finished draft, None if there is none."""
     if not spark.catalog.tableExists(f"{table}_draft"):

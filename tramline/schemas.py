@@ -65,6 +65,15 @@ PREDICTION = _struct(
 )
 BATCH_STATUS = _struct("batch_id long, execute_time timestamp_ntz, status int")
 
+# A record that a tolerant read has put aside: its reasons, and the record as it came.
+REJECTED = T.StructType(
+    [
+        *_struct("folder string, service string, file string").fields,
+        T.StructField("reasons", T.ArrayType(T.StringType())),
+        *_struct("record string").fields,
+    ]
+)
+
 
 def hourly_row(suffix: str = "NOPE") -> T.StructType:
     """One month of one station, boardings and alightings side by side for all 24 hours."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,17 +11,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tramline.operators.aggregates import next_number
+from tramline.operators.ids import assign_ids
+from tramline.operators.joins import new_rows
 from tramline.schemas import BATCH_STATUS, conform
+from tramline.sinks.versions import VERSION, commit_version, last_version, remove, replace_location, write_aside
 from tramline.sources.tables import counted
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def replace_table(df: DataFrame, table: str, schema: T.StructType) -> int:
-    """The table holds exactly ``df`` afterwards; returns the rows written."""
-    rows, seen = counted(conform(df, schema))
-    rows.write.mode("overwrite").saveAsTable(table)
-    return seen.get["rows"]
+    """The table holds exactly ``df`` afterwards, in one step; returns the rows written."""
+    return replace_location(conform(df, schema), table)
 
 
 def append_table(
@@ -49,29 +51,61 @@ def replace_partitions(
     return seen.get["rows"]
 
 
-def append_ledger(spark: SparkSession, table: str, executed: dt.datetime, status: int = 0) -> None:
-    """Append the next batch number with its (city, minute) time to the ledger.
+def replace_covered(
+    df: DataFrame, table: str, schema: T.StructType, partition_by: str, covered: Sequence[str]
+) -> int:
+    """``replace_partitions``, and the ``covered`` partitions without new rows go: what a run no longer finds."""
+    spark = df.sparkSession
+    rows = replace_partitions(df, table, schema, partition_by)
+    names = [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    there = {n.split("=", 1)[1] for n in names} & set(covered)
+    kept = {r[0] for r in df.where(F.col(partition_by).isin(sorted(there))).select(partition_by).distinct().collect()} if there else set()
+    for value in sorted(there - kept):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_by} = '{value}')")
+    return rows
 
-    A batch time and status that the ledger already has is not entered again.
-    """
-    exists = spark.catalog.tableExists(table)
-    ledger = spark.table(table) if exists else spark.createDataFrame([], BATCH_STATUS)
-    entry = next_ledger_entry(ledger, executed, status)
-    entered = ledger.where((F.col("execute_time") == _minute(executed)) & (F.col("status") == status))
-    if entered.isEmpty():
-        entry.write.mode("append").saveAsTable(table)
-
-
-def next_ledger_entry(ledger: DataFrame, executed: dt.datetime, status: int = 0) -> DataFrame:
-    return next_number(ledger, "batch_id").select(
-        F.col("next_batch_id").cast("long").alias("batch_id"),
-        _minute(executed).alias("execute_time"),
-        F.lit(status).alias("status"),
-    )
 
+def append_ledger(spark: SparkSession, table: str, executed: dt.datetime, status: int = 0) -> int:
+    """Enter a (city, minute) batch time with the next batch number, unless it is entered; returns the new entries."""
+    at = spark.range(1).select(F.lit(executed.replace(tzinfo=None)).cast("timestamp_ntz").alias("execute_time"))
+    return enter_batches(at.withColumn("status", F.lit(status)), table)
 
-def _minute(executed):
-    return F.lit(executed.replace(second=0, microsecond=0, tzinfo=None)).cast("timestamp_ntz")
+
+def enter_batches(batches: DataFrame, table: str, tries: int = 10) -> int:
+    """Enter all batches (execute_time, status) that the ledger lacks; returns how many.
+
+    Times count by the minute. New entries are numbered without gaps after the highest number, by time
+    and status, and become visible together. The ledger is partitioned by version: a run adds the
+    version after the one it has read, and if another run has added it meanwhile, reads again. So
+    neither a repeated nor a concurrent run enters a batch or a number twice. A missing ledger is created.
+    """
+    spark = batches.sparkSession
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in BATCH_STATUS)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} ({columns}, {VERSION} INT) USING parquet PARTITIONED BY ({VERSION})"
+    )
+    minute = F.date_trunc("minute", F.col("execute_time").cast("timestamp_ntz")).cast("timestamp_ntz")
+    key = F.struct(minute.alias("execute_time"), F.col("status").cast("int").alias("status"))
+    asked = batches.select(key.alias("entry")).distinct()
+    for _ in range(tries):
+        version = last_version(spark, table)
+        ledger = spark.table(table).where(F.col(VERSION) <= version)
+        lacking = new_rows(asked, ledger.select(key.alias("entry")), "entry").select("entry.*")
+        (first,) = next_number(ledger, "batch_id").first()
+        numbered = assign_ids(lacking, ["execute_time", "status"], "batch_id", first)
+        folder, rows = write_aside(conform(numbered, BATCH_STATUS), table)
+        if not rows:
+            remove(spark, folder)
+            return 0
+        if commit_version(spark, table, version + 1, folder):
+            return rows
+        remove(spark, folder)
+    raise RuntimeError(f"{table} changed {tries} times while batches were entered")
+
+
+def read_ledger(spark: SparkSession, table: str) -> DataFrame:
+    """All entries: batch_id, execute_time, status."""
+    return spark.table(table).select([f.name for f in BATCH_STATUS])
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, schema: T.StructType, mode: str, **options):

@@ -60,14 +60,22 @@ def read_responses(
 
 
 def _read_folders(spark, path, schema, folder, values, multi_line=False):
+    options = {"mode": "FAILFAST", "multiLine": str(multi_line).lower()}
+    return folders_of(spark, path, schema, folder, values, "json", **options)
+
+
+def folders_of(
+    spark: SparkSession, path: str, schema: T.StructType | str, folder: str | None, values: Sequence[str] | None, source: str, **options: str
+) -> DataFrame:
     """Scan of ``path``; with ``values`` of those ``folder=value`` folders only that exist."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     if folder:
         schema = T.StructType([*schema.fields, T.StructField(folder, T.StringType())])
-    reader = spark.read.schema(schema).options(mode="FAILFAST", multiLine=str(multi_line).lower())
+    reader = spark.read.format(source).schema(schema).options(**options)
     if values is None:
-        return reader.json(path)
+        return reader.load(path)
     paths = [p for v in values if _exists(spark, p := f"{path}/{folder}={v}")]
-    return reader.option("basePath", path).json(paths) if paths else spark.createDataFrame([], schema)
+    return reader.option("basePath", path).load(paths) if paths else spark.createDataFrame([], schema)
 
 
 def _exists(spark, path):
@@ -127,20 +135,28 @@ def _collected(spark, root, service, row, batch_date):
     return complete_rows(read_responses(spark, root, service, row, "ymd", values=[day]), "ymd")
 
 
+def published_days(batch_date: dt.date, lag_days: int = 4) -> list[str]:
+    """Folder of the one day that is published on the batch date."""
+    return [(batch_date - dt.timedelta(days=lag_days)).strftime("%Y%m%d")]
+
+
+def last_month_days(batch_date: dt.date) -> list[str]:
+    """Folders of the month before the batch date; January has last December's."""
+    last = batch_date.replace(day=1) - dt.timedelta(days=1)
+    return [f"{last:%Y%m}{day:02}" for day in range(1, last.day + 1)]
+
+
 def daily_rows(spark: SparkSession, root: str, batch_date: dt.date, lag_days: int = 4) -> DataFrame:
     """Ridership of the one day that is published on the batch date."""
-    day = (batch_date - dt.timedelta(days=lag_days)).strftime("%Y%m%d")
-    return complete_rows(read_responses(spark, root, DAILY_RIDERS, schemas.DAILY_ROW, "ymd", values=[day]), "ymd")
+    return _riders(spark, root, published_days(batch_date, lag_days))
 
 
 def last_month_rows(spark: SparkSession, root: str, batch_date: dt.date) -> DataFrame:
-    """Ridership of every day of the month before the batch date.
+    """Ridership of every day of the month before the batch date."""
+    return _riders(spark, root, last_month_days(batch_date))
 
-    Month and year both follow from the shifted date, so January reads last December.
-    """
-    first = (batch_date.replace(day=1) - dt.timedelta(days=1)).replace(day=1)
-    days = [(first + dt.timedelta(days=i)).strftime("%Y%m%d") for i in range(31)]
-    days = [d for d in days if d.startswith(first.strftime("%Y%m"))]
+
+def _riders(spark, root, days):
     return complete_rows(read_responses(spark, root, DAILY_RIDERS, schemas.DAILY_ROW, "ymd", values=days), "ymd")
 
 

@@ -11,7 +11,7 @@ from tramline.plans import ridership
 from tramline.plans.events import refine_events
 from tramline.plans.weather import district_items
 from tramline.session import stage_path
-from tramline.sources import landed
+from tramline.sources import landed, quarantine
 from tramline.sources.districts import DISTRICT_GRID, district_grid
 from tramline.workloads.events import REFINED_SQL, landed_events
 from tramline.workloads.ridership import history
@@ -120,3 +120,89 @@ SELECT strftime(ts, '%Y%m%d') AS "fcstDate", strftime(ts, '%H%M%S') AS "fcstTime
        event_type AS category, CAST(event_id AS VARCHAR) AS "fcstValue"
 FROM events JOIN grid ON nx = user_id % 5 + 58 AND ny = user_id % 6 + 124
 """
+
+
+def spoilt_landing(spark, sf_dir):
+    """Orders landed by month as ridership, with bad dates and numbers, cut lines, errors and empty answers.
+
+    A response holds the orders of one of 50 customer groups and 4000 order keys, and declares the month's.
+    """
+    orders = table(spark, sf_dir, "orders")
+    month, key = F.date_format("o_orderdate", "yyyyMM"), F.col("o_orderkey")
+    row = F.struct(
+        F.when(key % 7 == 0, "1997-13-45").when(key % 13 != 0, F.date_format("o_orderdate", "yyyyMMdd")).alias("USE_YMD"),
+        F.col("o_orderstatus").alias("SBWY_ROUT_LN_NM"),
+        F.col("o_orderpriority").alias("SBWY_STNS_NM"),
+        F.when(key % 11 == 0, "n/a").when(key % 17 == 0, " ").otherwise(F.col("o_custkey").cast("string")).alias("GTON_TNOPE"),
+        key.alias("GTOFF_TNOPE"),
+    )
+    totals = orders.groupBy(month.alias("ymd")).agg(F.count("*").alias("list_total_count"))
+    pages = orders.groupBy(month.alias("ymd"), (F.col("o_custkey") % 50).alias("group"), F.floor(key / 4000).alias("page"))
+    pages = pages.agg(F.collect_list(row).alias("row")).join(totals, "ymd")
+    whole = F.to_json(F.struct(F.struct("list_total_count", "row").alias(landed.DAILY_RIDERS)))
+    error = F.lit('{"RESULT": {"CODE": "ERROR-500", "MESSAGE": "server"}}')
+    nothing = F.lit(f'{{"RESULT": {{"CODE": "{landed.NO_DATA}"}}}}')
+    line = F.when(F.col("group") == 3, F.substr(whole, F.lit(1), F.length(whole) - 5)).when(F.col("group") == 5, error)
+    line = line.when(F.col("group") == 8, nothing).otherwise(whole)
+    root = stage_path(spark, "landing")
+    lines = pages.select("ymd", line.alias("value"))
+    lines.hint("rebalance", "ymd").write.partitionBy("ymd").text(f"{root}/{landed.DAILY_RIDERS}")
+    return root
+
+
+def spoilt_split(spark, sf_dir):
+    rules = {"bad_USE_YMD": quarantine.not_a_date(F.col("USE_YMD"), "yyyyMMdd"), "no_USE_YMD": F.col("USE_YMD").isNull()}
+    root = spoilt_landing(spark, sf_dir)
+    return quarantine.read_split(spark, root, landed.DAILY_RIDERS, schemas.DAILY_ROW, "ymd", rules=rules)
+
+
+def landed_quarantine(spark, sf_dir):
+    """What a tolerant read puts aside, by month, reasons and station, and how many records each."""
+    rejected = spoilt_split(spark, sf_dir).rejected
+    station = F.get_json_object("record", "$.SBWY_STNS_NM").alias("station")
+    short = F.when(F.array_contains("reasons", "incomplete"), F.col("record")).alias("shortfall")
+    return rejected.groupBy("folder", F.array_join("reasons", ",").alias("reasons"), station, short).agg(F.count("*").alias("n"))
+
+
+SPOILT_SQL = """
+orders_landed AS (
+  SELECT *, strftime(o_orderdate, '%Y%m') AS folder, o_custkey % 50 AS grp, o_orderkey // 4000 AS page,
+         concat_ws(',', CASE WHEN o_orderkey % 11 = 0 THEN 'bad_GTON_TNOPE' END, CASE WHEN o_orderkey % 7 = 0 THEN 'bad_USE_YMD' END,
+                   CASE WHEN o_orderkey % 7 <> 0 AND o_orderkey % 13 = 0 THEN 'no_USE_YMD' END) AS reasons
+  FROM orders)
+"""
+QUERIES["landed_quarantine"] = landed_quarantine
+SQL["landed_quarantine"] = f"""
+WITH {SPOILT_SQL},
+lines AS (SELECT DISTINCT folder, grp, page FROM orders_landed WHERE grp IN (3, 5)),
+short AS (
+  SELECT folder, count(*) AS declared, count(*) FILTER (grp NOT IN (3, 5, 8)) AS collected FROM orders_landed GROUP BY folder)
+SELECT folder, CASE grp WHEN 3 THEN 'malformed' ELSE 'no_envelope' END AS reasons, CAST(NULL AS VARCHAR) AS station,
+       CAST(NULL AS VARCHAR) AS shortfall, count(*) AS n
+FROM lines GROUP BY ALL
+UNION ALL
+SELECT folder, reasons, o_orderpriority, NULL, count(*) FROM orders_landed
+WHERE reasons <> '' AND grp NOT IN (3, 5, 8) GROUP BY ALL
+UNION ALL
+SELECT folder, 'incomplete', NULL,
+       collected || ' of ' || CASE WHEN collected > 0 THEN CAST(declared AS VARCHAR)
+                                   WHEN EXISTS (SELECT * FROM orders_landed o WHERE o.folder = short.folder AND grp = 8) THEN '0'
+                                   ELSE 'none declared' END, 1
+FROM short
+WHERE collected < declared
+  AND (collected > 0 OR NOT EXISTS (SELECT * FROM orders_landed o WHERE o.folder = short.folder AND grp = 8))
+"""
+
+
+def landed_accepted(spark, sf_dir):
+    """What a tolerant read lets through, as ridership by day."""
+    return schemas.conform(ridership.refine_daily(spoilt_split(spark, sf_dir).good), schemas.DAILY)
+
+
+QUERIES["landed_accepted"] = landed_accepted
+SQL["landed_accepted"] = f"""
+WITH {SPOILT_SQL}
+SELECT strftime(o_orderdate, '%Y%m%d') AS service_date, o_orderstatus AS line, o_orderpriority || '역' AS name,
+       CAST(CASE WHEN o_orderkey % 17 <> 0 THEN o_custkey END AS INTEGER) AS get_on_d, CAST(o_orderkey AS INTEGER) AS get_off_d
+FROM orders_landed WHERE reasons = '' AND grp NOT IN (3, 5, 8)
+"""

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tramline import schemas
 from tramline.plans import forecast, jobs, ridership
 from tramline.session import stage, stage_path
-from tramline.sinks.tables import append_ledger, append_table, replace_partitions, replace_table
+from tramline.sinks.tables import append_table, enter_batches, read_ledger, replace_partitions, replace_table
 from tramline.sources import landed
 from tramline.sources.tables import load_mode, read_table
 from tramline.workloads import ridership as rides
@@ -161,27 +161,59 @@ FROM ({rides.SQL["daily_refine"]}) GROUP BY line, name
 
 
 def ledger_twice(spark, sf_dir):
-    """A ledger with an entry for each day of the first fortnight of 1997 that has orders, each entered twice."""
-    first = dt.date(1997, 1, 1)
-    orders = table(spark, sf_dir, "orders").where(F.col("o_orderdate").between(first, first + dt.timedelta(days=13)))
-    days = [r[0] for r in orders.select(F.to_date("o_orderdate")).distinct().orderBy(F.to_date("o_orderdate")).collect()]
+    """A ledger with an entry for each day that has orders: first the days of 1995, then all days, then all again."""
+    day = F.to_date("o_orderdate")
+    seconds = F.make_dt_interval(hours=F.lit(2), secs=F.lit(31))
+    times = table(spark, sf_dir, "orders").select((day.cast("timestamp_ntz") + seconds).alias("execute_time"), F.lit(0).alias("status"))
     with scratch_schema(spark):
-        for day in days:
-            for _ in range(2):
-                append_ledger(spark, "batch_status", dt.datetime.combine(day, dt.time(2, 0, 31)))
-        return stage(read_table(spark, "batch_status"), "read_back")
+        for batches in (times.where(F.year("execute_time") == 1995), times, times):
+            enter_batches(batches, "batch_status")
+        return stage(read_ledger(spark, "batch_status"), "read_back")
 
 
 QUERIES["ledger_twice"] = ledger_twice
 SQL["ledger_twice"] = """
-WITH days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders
-              WHERE o_orderdate >= DATE '1997-01-01' AND o_orderdate < DATE '1997-01-15')
-SELECT row_number() OVER (ORDER BY day) AS batch_id, CAST(day AS TIMESTAMP) + INTERVAL 2 HOUR AS execute_time,
+WITH days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders)
+SELECT row_number() OVER (ORDER BY year(day) <> 1995, day) AS batch_id, CAST(day AS TIMESTAMP) + INTERVAL 2 HOUR AS execute_time,
        CAST(0 AS INTEGER) AS status
 FROM days
 """
 
 
+def replace_reads(spark, sf_dir):
+    """Sums of a replaced table: read by a plan made before, after a replacement that fails on the way, and after one that does not."""
+    days = rides.daily_refine(spark, sf_dir)
+    late = days.withColumn("get_on_d", F.col("get_on_d") + 1)
+    some = F.pmod(F.xxhash64("service_date", "get_off_d"), F.lit(10)) == 0  # so tasks fail on their way
+    broken = F.when(some, F.raise_error(F.lit("broken row")).cast("int")).otherwise(F.col("get_on_d"))
+
+    def sums(name):
+        rows = read_table(spark, "daily").groupBy("line", "name")
+        return rows.agg(F.sum("get_on_d").alias(name))
+
+    with scratch_schema(spark):
+        replace_table(days, "daily", schemas.DAILY)
+        planned = sums("planned_before")
+        planned.schema
+        try:
+            replace_table(late.withColumn("get_on_d", broken), "daily", schemas.DAILY)
+        except Exception as error:
+            if "broken row" not in str(error):
+                raise
+        failed = stage(sums("after_failure"), "read_back")
+        replace_table(late, "daily", schemas.DAILY)
+        found = planned.join(failed, ["line", "name"], "full").join(sums("after"), ["line", "name"], "full")
+        return stage(found, "read_back")
+
+
+QUERIES["table_replace_reads"] = replace_reads
+SQL["table_replace_reads"] = f"""
+SELECT line, name, CAST(sum(get_on_d) AS BIGINT) AS planned_before, CAST(sum(get_on_d) AS BIGINT) AS after_failure,
+       CAST(sum(get_on_d) + count(*) AS BIGINT) AS after
+FROM ({rides.SQL["daily_refine"]}) GROUP BY line, name
+"""
+
+
 def publish_twice(spark, sf_dir):
     """The event jobs with their first batch, drafted and published twice, answers being labels."""
     rows = landed_events(spark, sf_dir).drop("ALT").withColumn("ymd", F.lit(BATCH_DATE.strftime("%Y%m%d")))
