@@ -73,7 +73,7 @@ def test_odd_rows_go_through(spark, sf_dir, docs):
         (3, "the cat sat on the mat", "en", "s", 1), (3, "the cat sat on the mat", "en", "s", 1),
         (4, "der hund liegt auf der matte", "de", None, None), (5, "word " * 20000, "en", "s", 1), (6, "123 456", None, "s", 1),
     ]
-    odd = docs(rows).selectExpr("*", "1 AS id", "'x' AS node", "2 AS __language0", "3 AS piece", "4 AS fp", "5 AS t")
+    odd = docs(rows).selectExpr("*", "1 AS id", "'x' AS node", "2 AS __language0", "7 AS language", "8 AS __language", "9 AS known", "10 AS __score", "11 AS gone", "3 AS piece", "4 AS fp", "5 AS t")
     for table in (odd, odd.where("false")):
         current = table
         for name, function in corpus_pipeline.STAGES:

@@ -16,6 +16,22 @@ def release(df: DataFrame) -> None:
     df.sparkSession.sparkContext._jvm.System.gc()
 
 
+def discard(*staged: DataFrame) -> None:
+    """Delete staged tables that only finished, already staged work has read; empty ones without files stay."""
+    for df in staged:
+        for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores as no column of ``df`` has (names differ in more than case)."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (a long, b long) that has a neighbour.
 
