@@ -22,18 +22,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tramline.llm import decontam, langid, lines, packing, simhash
+from tramline.llm.graph import fresh
 from tramline.llm.queries import tokenizer_path
 from tramline.session import prepare, stage
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.train(docs)
-    found = langid.classify(docs, model, language_col="__language", score_col="__score", known_col="__known")
-    return found.where((F.col("__language") != "und") & (F.col("__known") >= model.least_known)).select(*docs.columns)
+    language, score, known = (fresh(docs, name) for name in ("language", "score", "known"))
+    found = langid.classify(docs, model, language_col=language, score_col=score, known_col=known)
+    return found.where((F.col(language) != "und") & (F.col(known) >= model.least_known)).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = lines.dedup_lines(docs, search="minhash")
+    kept = lines.dedup_lines(docs)
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return kept
