@@ -1,6 +1,8 @@
 import hashlib
 import math
+import random
 import re
+import time
 from collections import Counter
 
 from tramline.llm import secrets
@@ -23,7 +25,7 @@ def brute_entropy(text):
     text, out = text or "", []
     for rank, c in enumerate(secrets.CLASSES, 3):
         for m in re.finditer(c.pattern, text):
-            if not re.search(c.needs, m[0]) or any(re.search(p, m[0]) for p in secrets.ALLOWED):
+            if not all(re.search(n, m[0]) for n in c.needs):
                 continue
             word = m[0].lower() if c.alphabet == c.alphabet.lower() else m[0]
             hits = set()
@@ -34,7 +36,8 @@ def brute_entropy(text):
             for i in sorted(hits):
                 if i - 1 not in hits:
                     end = next(k for k in range(i, len(word) + 1) if k not in hits)
-                    out.append((m.start() + i, rank, m.start() + end, c.kind))
+                    if not any(re.search(p, m[0][i:end]) for p in secrets.ALLOWED):
+                        out.append((m.start() + i, rank, m.start() + end, c.kind))
     return out
 
 
@@ -83,6 +86,37 @@ def test_cases(spark, docs, tmp_path):
     assert any("entropy_base64" in r.spans for r in got)
 
 
+def test_tokens_of_every_class_are_found(spark, docs):
+    rng = random.Random(2)
+    kinds = {
+        "entropy_hex": "0123456789abcdef", "entropy_base36": "abcdefghijklmnopqrstuvwxyz0123456789",
+        "entropy_base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
+    }
+    rows, kind_of = [], {}
+    for kind, alphabet in kinds.items():
+        for n in (20, 24, 32, 40):
+            for _ in range(100):
+                token = "".join(rng.choices(alphabet, k=n))
+                if kind == "entropy_base36" and n % 16:
+                    token = token.upper()
+                kind_of[len(rows)] = kind, n
+                rows.append((len(rows), f"some words {token} and path/to/sample/file", None, None, None))
+    got = {r.doc_id: {s.kind for s in r.spans} for r in secrets.scan(docs(rows)).collect()}
+    for kind in kinds:
+        for n in (20, 24, 32, 40):
+            found = [kind in got[i] for i, k in kind_of.items() if k == (kind, n)]
+            assert sum(found) >= (90 if n == 20 else 95), (kind, n)
+
+
+def test_long_candidates_take_linear_time(spark, docs):
+    """A megabyte of letters of one case, or of one class, is looked at once."""
+    letters = "".join(random.Random(1).choices("acgt", k=1_000_000))
+    rows = [(1, letters, None, None, None), (2, letters.upper(), None, None, None), (3, "x" * 1_000_000, None, None, None)]
+    began = time.time()
+    assert all(r.spans == [] for r in secrets.scan(docs(rows)).collect())
+    assert time.time() - began < 60
+
+
 def test_null_ids_repeats_and_empty(spark, docs):
     df = docs([(None, "secret=12345678", None, None, None), (1, None, None, None, None), (1, None, None, None, None)])
     assert sorted((r.doc_id or 0, len(r.spans)) for r in secrets.scan(df).collect()) == [(0, 1), (1, 0), (1, 0)]

@@ -69,6 +69,15 @@ def test_spans(spark, docs):
     assert got == {1: [], 2: [(1, 22), (23, 48)]}
 
 
+def test_ids_at_both_ends_of_a_long(spark, docs):
+    text = " ".join(f"w{i}" for i in range(30))
+    ids = [2**63 - 1, -(2**63), 9 * 10**18, 8 * 10**18, -6 * 10**18, 0, -1, 7]
+    rows = [(i, f"x{k} {text}", None, None, None) for k, i in enumerate(ids)]
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_text) for r in substring.remove_duplicates(docs(rows)).collect()}
+    assert got == brute([r[:2] for r in rows])
+    assert got[-(2**63)][1] == 0 and sum(g[1] == 30 for g in got.values()) == 7
+
+
 def test_edge_rows(spark, docs):
     text = " ".join(f"w{i}" for i in range(40))
     long = " ".join(f"v{i % 5000}" for i in range(60000))

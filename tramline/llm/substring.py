@@ -37,7 +37,8 @@ BLOCK = 64
 PART = 8
 _ODD = 0x9E3779B97F4A7C15
 _INVERSE = pow(_ODD, -1, 1 << 64)
-PLACE = pa.decimal128(38, 0)  # id, checksum of the text (32 bits), word number (32 bits): sorts by place
+PLACE = pa.decimal128(38, 0)  # id, checksum of the text (30 bits), word number (31 bits): sorts by place, fits any long
+CHECK, WORD = 30, 31
 
 
 @functools.cache
@@ -86,11 +87,8 @@ class Parsed:
 
     def places(self, batch: pa.RecordBatch, row: np.ndarray, word: np.ndarray) -> pa.Array:
         """Sortable places of words (numbers in the slice) of rows."""
-        buffer = np.empty((len(row), 2), np.int64)
-        check = batch.column("check").to_numpy(zero_copy_only=False)[row]
-        buffer[:, 0] = (check << 32) | (word - self.first[row])
-        buffer[:, 1] = batch.column("id").to_numpy(zero_copy_only=False)[row]
-        return pa.Array.from_buffers(PLACE, len(row), [None, pa.py_buffer(buffer)])
+        ids, checks = (batch.column(c).to_numpy(zero_copy_only=False)[row] for c in ("id", "check"))
+        return _places(ids, checks, word - self.first[row])
 
     def marked(self, batch: pa.RecordBatch, name: str) -> np.ndarray:
         """True at the words that the list column ``name`` has (numbers in their text)."""
@@ -105,14 +103,28 @@ def _table(key: np.ndarray, places: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), places], ["key", "place"])
 
 
+def _places(ids: np.ndarray, checks: np.ndarray, words: np.ndarray) -> pa.Array:
+    """id * 2^61 + check * 2^31 + word as 128-bit numbers, the lower 64 bits first."""
+    buffer = np.empty((len(ids), 2), np.int64)
+    buffer[:, 0] = (ids << CHECK + WORD) | (checks << WORD) | words
+    buffer[:, 1] = ids >> 64 - CHECK - WORD
+    return pa.Array.from_buffers(PLACE, len(ids), [None, pa.py_buffer(buffer)])
+
+
+def _parts(places: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, checks, words) of ``_places``."""
+    low, high = np.frombuffer(places.buffers()[1], np.int64).reshape(-1, 2)[places.offset : places.offset + len(places)].T
+    ids = (high << 64 - CHECK - WORD) | (low.view(np.uint64) >> np.uint64(CHECK + WORD)).view(np.int64)
+    return ids, low >> WORD & (1 << CHECK) - 1, low & (1 << WORD) - 1
+
+
 def _back(firsts: DataFrame, names: list[str]) -> DataFrame:
     """(id, check, one list of word numbers for each name) from (key, place, kind)."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            place = batch.column("place")
-            both = np.frombuffer(place.buffers()[1], np.int64).reshape(-1, 2)[place.offset : place.offset + len(place)]
-            arrays = [pa.array(both[:, 1]), pa.array(both[:, 0] >> 32 & 0xFFFFFFFF), pa.array((both[:, 0] & 0xFFFFFFFF).astype(np.int32))]
+            ids, checks, words = _parts(batch.column("place"))
+            arrays = [pa.array(ids), pa.array(checks), pa.array(words.astype(np.int32))]
             yield pa.RecordBatch.from_arrays([*arrays, batch.column("kind")], ["id", "check", "at", "kind"])
 
     rows = firsts.select("place", "kind").mapInArrow(split, "id long, check long, at int, kind int")
@@ -122,7 +134,7 @@ def _back(firsts: DataFrame, names: list[str]) -> DataFrame:
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
-    return rows.withColumn("check", F.crc32(F.col("t").cast("binary")))
+    return rows.withColumn("check", F.crc32(F.col("t").cast("binary")).bitwiseAND(F.lit((1 << CHECK) - 1)))
 
 
 def _with_lists(rows: DataFrame, lists: DataFrame, names: list[str]) -> DataFrame:
@@ -183,11 +195,8 @@ def duplicate_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for batch in batches:
             lists = batch.column("asked")
             n = np.diff(lists.offsets.to_numpy())
-            buffer = np.empty((int(n.sum()), 2), np.int64)
-            check = batch.column("check").to_numpy(zero_copy_only=False)
-            buffer[:, 0] = (np.repeat(check, n) << 32) | lists.flatten().to_numpy(zero_copy_only=False)
-            buffer[:, 1] = np.repeat(batch.column("id").to_numpy(zero_copy_only=False), n)
-            places = pa.Array.from_buffers(PLACE, len(buffer), [None, pa.py_buffer(buffer)])
+            ids, checks = (np.repeat(batch.column(c).to_numpy(zero_copy_only=False), n) for c in ("id", "check"))
+            places = _places(ids, checks, lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64))
             yield _table(batch.column("keys").flatten().to_numpy(zero_copy_only=False), places)
 
     asked = parsed.where(F.size("asked") > 0).select("id", "check", "asked", "keys")
