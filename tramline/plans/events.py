@@ -16,8 +16,10 @@ from tramline.operators.dedup import keep_first
 from tramline.operators.filters import still_running, without_value
 from tramline.operators.ids import assign_ids
 from tramline.operators.joins import keyed_update, new_rows, with_default_lookup
+from tramline.operators.key_index import KeyIndex, new_rows_indexed
 from tramline.operators.skew import spread_join
 from tramline.session import stage
+from tramline.sinks.tables import read_key_index
 from tramline.sources.tables import FULL, INCREMENTAL, load_mode, read_table
 
 # Landed column → table column. The feed publishes LAT and LOT exchanged.
@@ -93,9 +95,15 @@ def full_load_candidates(events: DataFrame, batch_date: dt.date) -> DataFrame:
     return described.select("event_id", "homepage")
 
 
-def incremental_candidates(events: DataFrame, baseline: DataFrame) -> DataFrame:
-    """Events whose homepage the baseline table lacks: (event_id, homepage)."""
-    return new_rows(events, baseline, "homepage").select("event_id", "homepage")
+def incremental_candidates(events: DataFrame, baseline: DataFrame, index: KeyIndex | None = None) -> DataFrame:
+    """Events whose homepage the baseline table lacks: (event_id, homepage).
+
+    With an index of the baseline's homepages, events that it surely lacks are not shuffled.
+    """
+    events = events.select("event_id", "homepage")
+    if index:
+        return new_rows_indexed(events, baseline, "homepage", index)
+    return new_rows(events, baseline, "homepage")
 
 
 def page_texts(candidates: DataFrame, pages: DataFrame) -> DataFrame:
@@ -155,5 +163,7 @@ def prepare_load(
     if mode == FULL:
         candidates = full_load_candidates(events, batch_date)
     else:
-        candidates = incremental_candidates(events, read_table(spark, table, schema))
+        name = f"{schema}.{table}" if schema else table
+        index = read_key_index(spark, name, "homepage")
+        candidates = incremental_candidates(events, read_table(spark, table, schema), index)
     return mode, events, stage(page_texts(candidates, pages), "texts")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tramline import schemas
 from tramline.functions.dates import CITY_ZONE
 from tramline.plans import events, forecast, ridership, weather
-from tramline.sinks.tables import append_ledger, replace_covered, replace_partitions, replace_table
+from tramline.sinks.tables import append_ledger, replace_covered, replace_key_index, replace_partitions, replace_table
 from tramline.sources import landed, quarantine
 from tramline.sources.districts import district_grid
 from tramline.sources.tables import FULL, load_mode, read_table
@@ -202,7 +202,9 @@ def publish_events(
         read_table(spark, responses),
     )
     if draft[0] == FULL:
-        return replace_table(final, table, schemas.EVENT)
+        rows = replace_table(final, table, schemas.EVENT)
+        replace_key_index(spark, table, "homepage")  # for the incremental loads that follow
+        return rows
     rows = replace_table(final, f"{table}_sync", schemas.EVENT)
     append_ledger(spark, ledger, city_batch(instant))
     return rows

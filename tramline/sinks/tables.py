@@ -12,12 +12,15 @@ from pyspark.sql import types as T
 
 from tramline.operators.aggregates import next_number
 from tramline.operators.ids import assign_ids
-from tramline.operators.joins import new_rows
+from tramline.operators.joins import keyed_update, new_rows
+from tramline.operators.key_index import KeyIndex, buckets_for, key_index
 from tramline.schemas import BATCH_STATUS, conform
-from tramline.sinks.versions import VERSION, commit_version, last_version, remove, replace_location, write_aside
+from tramline.session import stage
+from tramline.sinks.versions import VERSION, commit_version, last_version, location, properties, remove, replace_location, write_aside
 from tramline.sources.tables import counted
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+BUCKETS, INDEXED = "tramline.buckets", "tramline.indexed"  # properties of a key index
 
 
 def replace_table(df: DataFrame, table: str, schema: T.StructType) -> int:
@@ -65,6 +68,48 @@ def replace_covered(
     return rows
 
 
+def replace_key_index(spark: SparkSession, table: str, key: str) -> None:
+    """Keep an index of the table's keys beside it, as ``<table>_<key>_index``, for the content it has now."""
+    rows = spark.table(table)
+    buckets = buckets_for(rows.count())
+    name = f"{table}_{key}_index"
+    replace_location(key_index(rows, key, buckets).bitmaps, name)
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{BUCKETS}' = '{buckets}', '{INDEXED}' = '{location(spark, table)}')")
+
+
+def read_key_index(spark: SparkSession, table: str, key: str) -> KeyIndex | None:
+    """The index that ``replace_key_index`` has kept; None if there is none, or the table was replaced since."""
+    name = f"{table}_{key}_index"
+    if not spark.catalog.tableExists(name):
+        return None
+    kept = properties(spark, name)
+    if kept.get(INDEXED) != location(spark, table):
+        return None
+    return KeyIndex(spark.table(name), int(kept[BUCKETS]))
+
+
+def update_partitions(
+    table: str, updates: DataFrame, key: str, column: str, new: str, partition_by: str
+) -> int:
+    """``joins.keyed_update`` of a partitioned table, in place; returns the rows written.
+
+    Only partitions that hold an updated key are read whole and written again; the files of all others
+    stay. The keys are looked for in the key and partition columns alone. Files are
+    written aside and moved in when all are done.
+    """
+    spark = updates.sparkSession
+    rows = spark.table(table)
+    keys = stage(updates.select(key).distinct(), "updated_keys")
+    touched = rows.select(key, partition_by).join(keys, key, "left_semi").select(partition_by).distinct()
+    touched = stage(touched, "touched_partitions")
+    changed = keyed_update(rows.join(touched, partition_by, "left_semi"), updates, key, column, new)
+    written, seen = counted(_sized(changed.select(*rows.columns), partition_by))
+    with _setting(spark, OVERWRITE_MODE, "dynamic"):
+        written.write.mode("overwrite").insertInto(table)
+    spark.catalog.refreshTable(table)
+    return seen.get["rows"]
+
+
 def append_ledger(spark: SparkSession, table: str, executed: dt.datetime, status: int = 0) -> int:
     """Enter a (city, minute) batch time with the next batch number, unless it is entered; returns the new entries."""
     at = spark.range(1).select(F.lit(executed.replace(tzinfo=None)).cast("timestamp_ntz").alias("execute_time"))

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from tramline import schemas
 from tramline.functions import dates
+from tramline.operators.intervals import coverage_faults
 
 # Names of the services and their envelopes.
 EVENTS = "culturalEventInfo"
@@ -114,6 +115,20 @@ def incomplete(responses: DataFrame, folder: str | None = None) -> DataFrame:
     return counts.where("declared IS NULL OR collected < declared")
 
 
+def page_faults(spark: SparkSession, root: str, service: str, folder: str, values: Sequence[str] | None = None) -> DataFrame:
+    """(folder, fault, first, last): rows that no landed page covers, or several do.
+
+    Collectors write what they asked for beside the answer: ``"page": {"first": 1, "last": 1000}``.
+    A missing page with a repeated one has the declared number of rows; it is found here.
+    """
+    page = T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType())])
+    body = T.StructType([T.StructField("list_total_count", T.LongType())])
+    schema = T.StructType([T.StructField(service, body), T.StructField("page", page)])
+    pages = _read_folders(spark, f"{root}/{service}", schema, folder, values)
+    ranges = pages.select(folder, "page.first", "page.last", F.col(f"{service}.list_total_count").alias("total"))
+    return coverage_faults(ranges, folder, "first", "last", "total")
+
+
 def event_rows(
     spark: SparkSession, root: str, batch_date: dt.date | None = None
 ) -> DataFrame:

@@ -206,3 +206,31 @@ SELECT strftime(o_orderdate, '%Y%m%d') AS service_date, o_orderstatus AS line, o
        CAST(CASE WHEN o_orderkey % 17 <> 0 THEN o_custkey END AS INTEGER) AS get_on_d, CAST(o_orderkey AS INTEGER) AS get_off_d
 FROM orders_landed WHERE reasons = '' AND grp NOT IN (3, 5, 8)
 """
+
+
+def landed_page_gaps(spark, sf_dir):
+    """Orders landed by month as pages of up to 50 customers, the month's largest number being its total."""
+    orders = table(spark, sf_dir, "orders")
+    month = F.date_format("o_orderdate", "yyyyMM")
+    totals = orders.groupBy(month.alias("ymd")).agg((F.max("o_custkey") + 20).alias("list_total_count"))
+    first = F.col("o_custkey").cast("long")
+    pages = orders.select(month.alias("ymd"), F.struct(first.alias("first"), (first + F.col("o_orderkey") % 50).alias("last")).alias("page"))
+    answers = pages.join(totals, "ymd").select("ymd", "page", F.struct("list_total_count").alias(landed.DAILY_RIDERS))
+    root = stage_path(spark, "landing")
+    answers.hint("rebalance", "ymd").write.partitionBy("ymd").json(f"{root}/{landed.DAILY_RIDERS}")
+    return landed.page_faults(spark, root, landed.DAILY_RIDERS, "ymd")
+
+
+QUERIES["landed_page_gaps"] = landed_page_gaps
+SQL["landed_page_gaps"] = """
+WITH pages AS (
+  SELECT strftime(o_orderdate, '%Y%m') AS ymd, CAST(greatest(o_custkey, 1) AS BIGINT) AS a, CAST(o_custkey + o_orderkey % 50 AS BIGINT) AS b
+  FROM orders WHERE o_custkey + o_orderkey % 50 >= 1),
+ends AS (SELECT ymd, max(a) + 21 AS a, max(a) + 20 AS b FROM pages GROUP BY ymd),
+swept AS (
+  SELECT *, greatest(0, coalesce(max(b) OVER (PARTITION BY ymd ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS seen
+  FROM (SELECT * FROM pages UNION ALL SELECT * FROM ends))
+SELECT ymd, 'gap' AS fault, seen + 1 AS first, a - 1 AS last FROM swept WHERE a > seen + 1
+UNION ALL
+SELECT ymd, 'overlap', a, least(b, seen) FROM swept WHERE a <= seen AND a <= b
+"""

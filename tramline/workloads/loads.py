@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tramline.operators import key_index
 from tramline.operators.aggregates import next_number
 from tramline.operators.joins import keyed_update, new_rows
+from tramline.session import stage
 from tramline.sources.landed import completeness
 from tramline.workloads.tables import table
 
@@ -13,11 +15,8 @@ QUERIES = {}
 SQL = {}
 
 
-def new_rows_anti(spark, sf_dir):
-    """Orders without lines, orders of status P and returned lines having no key.
-
-    As the baseline has rows without key, incoming rows without key are not new.
-    """
+def order_keys(spark, sf_dir):
+    """(incoming, baseline): orders without key where their status is P, lines without key where they were returned."""
     incoming = table(spark, sf_dir, "orders").select(
         F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).alias("key"),
         "o_orderstatus",
@@ -26,7 +25,15 @@ def new_rows_anti(spark, sf_dir):
     baseline = table(spark, sf_dir, "lineitem").select(
         F.when(F.col("l_returnflag") != "R", F.col("l_orderkey")).alias("key")
     )
-    return new_rows(incoming, baseline, "key")
+    return incoming, baseline
+
+
+def new_rows_anti(spark, sf_dir):
+    """Orders without lines, orders of status P and returned lines having no key.
+
+    As the baseline has rows without key, incoming rows without key are not new.
+    """
+    return new_rows(*order_keys(spark, sf_dir), "key")
 
 
 QUERIES["new_rows_anti"] = new_rows_anti
@@ -41,6 +48,20 @@ WHERE NOT EXISTS (SELECT 1 FROM baseline b WHERE b.key IS NOT DISTINCT FROM i.ke
 """
 
 
+def new_rows_indexed_anti(spark, sf_dir):
+    """The same by an index of the baseline's keys, made of two parts that are merged."""
+    incoming, baseline = order_keys(spark, sf_dir)
+    buckets = key_index.buckets_for(baseline.count())
+    early, late = (key_index.key_index(baseline.where(c), "key", buckets) for c in ("key % 3 = 0", "key IS NULL OR key % 3 <> 0"))
+    merged = early.merged(late)
+    index = key_index.KeyIndex(stage(merged.bitmaps, "key_index"), buckets)
+    return key_index.new_rows_indexed(incoming, baseline, "key", index)
+
+
+QUERIES["new_rows_indexed"] = new_rows_indexed_anti
+SQL["new_rows_indexed"] = SQL["new_rows_anti"]
+
+
 def new_rows_all_keyed(spark, sf_dir):
     """The same against a baseline without null keys: unkeyed rows are new."""
     incoming = table(spark, sf_dir, "documents").select(

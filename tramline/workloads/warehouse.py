@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tramline import schemas
 from tramline.plans import forecast, jobs, ridership
 from tramline.session import stage, stage_path
-from tramline.sinks.tables import append_table, enter_batches, read_ledger, replace_partitions, replace_table
+from tramline.sinks.tables import append_table, enter_batches, read_ledger, replace_partitions, replace_table, update_partitions
 from tramline.sources import landed
 from tramline.sources.tables import load_mode, read_table
 from tramline.workloads import ridership as rides
@@ -160,6 +160,34 @@ FROM ({rides.SQL["daily_refine"]}) GROUP BY line, name
 """
 
 
+def update_touched(spark, sf_dir):
+    """Daily ridership by month: customers' counts of 1996 are updated in place, and which months were written again."""
+    daily = rides.daily_refine(spark, sf_dir).withColumn("month", F.substring("service_date", 1, 6))
+    updates = daily.where("service_date BETWEEN '19960101' AND '19961231' AND get_on_d % 3 = 0")
+    updates = updates.select("get_off_d", (F.col("get_on_d") + 1000).alias("new_on"))
+
+    def files(name):
+        rows = read_table(spark, "daily").select("month", F.input_file_name().alias("file"))
+        return stage(rows.groupBy("month").agg(F.array_sort(F.collect_set("file")).alias(name)), "read_back")
+
+    with scratch_schema(spark):
+        daily.hint("rebalance", "month").write.partitionBy("month").saveAsTable("daily")
+        before = files("before")
+        update_partitions("daily", updates, "get_off_d", "get_on_d", "new_on", "month")
+        kept = before.join(files("after"), "month").select("month", (F.col("before") != F.col("after")).alias("rewritten"))
+        sums = read_table(spark, "daily").groupBy("month").agg(F.count("*").alias("n"), F.sum("get_on_d").alias("get_on"))
+        return stage(sums.join(kept, "month"), "read_back")
+
+
+QUERIES["table_update_touched"] = update_touched
+SQL["table_update_touched"] = f"""
+WITH daily AS (SELECT *, service_date[:6] AS month, service_date[:4] = '1996' AND get_on_d % 3 = 0 AS hit
+               FROM ({rides.SQL["daily_refine"]}))
+SELECT month, count(*) AS n, CAST(sum(get_on_d + CASE WHEN hit THEN 1000 ELSE 0 END) AS BIGINT) AS get_on, bool_or(hit) AS rewritten
+FROM daily GROUP BY month
+"""
+
+
 def ledger_twice(spark, sf_dir):
     """A ledger with an entry for each day that has orders: first the days of 1995, then all days, then all again."""
     day = F.to_date("o_orderdate")
