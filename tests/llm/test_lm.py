@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from conftest_llm import lower, words
+from pyspark.sql import functions as F
 
 from tramline.llm import lm
 from tramline.llm.queries import QUERIES
@@ -99,3 +100,40 @@ def test_edge_rows(spark, docs):
     assert lm.score(model, table.where("false")).count() == 0
     empty = lm.train(table.where("false"))
     assert [r.score for r in lm.score(empty, table.where("doc_id = 1")).collect()] == [0.0]
+
+@pytest.mark.parametrize("common,positions", [(4e-6, 1 << 20), (0.02, 1 << 20), (1.0, 50)])
+def test_every_ngram_is_kept(spark, docs, common, positions, monkeypatch):
+    """Also rare ones in a long corpus; whether counts are broadcast or joined, scores are those of the whole model."""
+    rng = np.random.default_rng(5)
+    p = 1 / np.arange(1, 401)
+    texts = [" ".join(f"w{x}" for x in rng.choice(400, p=p / p.sum(), size=rng.integers(0, 60))) for _ in range(120)]
+    texts += ["W1 w2 zz", "zz yy w1 w2", None, "", "w7", texts[0], texts[3]]
+    df = docs([(i, t, None, None, None) for i, t in enumerate(texts)] + [(3, texts[3], None, None, None), (None, "w1 w2 w3", None, None, None)])
+    monkeypatch.setattr(lm, "COMMON", common)
+    monkeypatch.setattr(lm, "POSITIONS", positions)
+    got, model = lm.score_corpus(df, F.col("doc_id") % 3 != 0)
+    brute = Brute([t for i, t in enumerate(texts) if i % 3], 3, 0, 0)
+    assert (model.n, model.v) == (brute.n, brute.v)
+    rows = got.collect()
+    assert sorted(r.doc_id or 0 for r in rows) == sorted([*range(len(texts)), 3, 0])
+    for r in rows:
+        text = "w1 w2 w3" if r.doc_id is None else texts[r.doc_id]
+        assert r.score == pytest.approx(brute.score(text), rel=1e-9)
+        assert r.base_score == pytest.approx(brute.base(text), rel=1e-9)
+        assert r.n_known == sum(brute.one[w] > 0 for w in tokens(text))
+    for empty in (df.where("false"), df.where("doc_id = 0")):
+        found, model = lm.score_corpus(empty, F.col("doc_id") % 3 != 0)
+        assert model.n == 0 and all(r.score == 0 for r in found.collect())
+
+
+def test_the_model_of_the_query_grows_with_the_corpus(spark, tmp_path):
+    """An n-gram that occurs twice in 600,000 tokens, below any share of them that was kept before, has its arc."""
+    rng = np.random.default_rng(6)
+    ids = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 7 != 2][:601]
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 900, 1000))) for i in ids[:600]]
+    held = next(i for i in range(3000, 9000) if zlib.crc32(str(i).encode()) % 7 == 2)
+    rows += [(ids[600], "w1 w2 w3 w4 w5 w6 w7 w8"), (held, "w1 w2 w3 w4 w5 w6 w7 w8")]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in QUERIES["op7_lm_scoring"](spark, str(tmp_path)).collect()}
+    brute = Brute([t for i, t in rows if i != held], 3, 0, 0)
+    assert got[held].score == pytest.approx(brute.score(rows[-1][1]), rel=1e-9)

@@ -5,7 +5,9 @@ of kept n-grams; a kept n-gram is an arc with a weight, and every state has a fa
 longest shorter history that is a state, with the backoff weight. One left-to-right traversal
 carries the state of each text and adds up log10 weights; the texts of a slice advance together.
 
-Statistics cover all training rows, and only tables of proven size are broadcast:
+``score_corpus``, which the query uses, keeps every n-gram: arcs and failure arcs are looked up by group, place by
+place, and the model is in no one place. ``train`` and ``score`` are for a bounded model. There, statistics cover all
+training rows, and only tables of proven size are broadcast:
 
 * Word counts are exact for every word, however rare. The at most ``1 / word_share`` words with
   that share of all tokens are the automaton's alphabet.
@@ -23,22 +25,26 @@ and V distinct ones, which leaves one share for unknown words: the weights of a
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tramline.llm.graph import release
-from tramline.llm.words import Words, text_slices, windows, within_rows
+from tramline.llm.graph import discard, release
+from tramline.llm.words import Words, join_hashes, mix, text_slices, windows, within_rows
 from tramline.session import stage
 
 END = np.uint64(0x5DEECE66D1234567)  # the hash that stands for the end of a text
 SLICE = 8 << 20  # bytes of text that advance together
 BUCKETS = 1 << 20
+COMMON = 4e-6  # share of the training tokens from which an n-gram's count is broadcast
+POSITIONS = 1 << 20  # places of texts in a group
+PASSES = 4  # over the texts; each sends a part of the places, so that not all stand in shuffle files at once
 WIDE = 32  # bucket sums in one row
 DISCOUNT = 0.5
 
@@ -257,8 +263,13 @@ def score(model: Model, docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Null texts are empty: one token, the end. Null ids are kept; each of several equal rows gets
     its own result row. Other columns are not read; an empty table gives no rows.
     """
+    return _summed(model, _scored(model, docs, id_col, text_col)[1], id_col)
+
+
+def _scored(model: Model, docs: DataFrame, id_col: str, text_col: str, learn: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """The rows (id, t, learn, h) of ``docs``, and what the automaton says of them, staged."""
+    learn = F.lit(False) if learn is None else learn
     automaton = docs.sparkSession.sparkContext.broadcast(model.automaton)
-    all_ = float(model.n + model.v + 1)
 
     def run(batches):
         model = automaton.value
@@ -281,20 +292,31 @@ def score(model: Model, docs: DataFrame, id_col: str = "doc_id", text_col: str =
             at = np.flatnonzero(new)
             yield _rows(batch, row[at], rare[at].view(np.int64), np.diff(np.append(at, len(row))))
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
-    rows = rows.withColumn("h", F.xxhash64("t"))
+    names = F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"), F.coalesce(learn, F.lit(False)).alias("learn")
+    rows = docs.select(*names).withColumn("h", F.xxhash64("t"))
     schema = "id long, h long, k long, m long, n_tokens long, n_known long, base double, score double"
-    scored = stage(rows.mapInArrow(run, schema), "scored")
+    scored = stage(rows.drop("learn").mapInArrow(run, schema), "scored")
     release(scored)
+    return rows, scored
+
+
+def _summed(model: Model, scored: DataFrame, id_col: str, weights: DataFrame | None = None) -> DataFrame:
+    """Sums by row; ``weights`` (id, h, v), if given, make up the score in place of the automaton's."""
     whole = scored.where("k IS NULL").drop("k")
     rare = scored.where("k IS NOT NULL").select("id", "h", "k", "m")
     counts = model.counts.where(F.col("c") < model.least)
     rare = rare.join(counts, "k", "left").withColumn("c", F.coalesce("c", F.lit(0)))
-    base = F.col("m") * F.log10((F.col("c") + 1) / F.lit(all_))
+    base = F.col("m") * F.log10((F.col("c") + 1) / F.lit(float(model.n + model.v + 1)))
     rare = rare.select(
         "id", "h", F.lit(0).cast("long").alias("m"), F.lit(0).cast("long").alias("n_tokens"),
         F.when(F.col("c") > 0, F.col("m")).otherwise(0).cast("long").alias("n_known"), base.alias("base"), base.alias("score"),
     )
+    if weights is not None:
+        columns = (F.lit(0).cast("long").alias(c) for c in ("m", "n_tokens", "n_known"))
+        weights = weights.select("id", "h", *columns, F.lit(0.0).alias("base"), F.col("v").alias("score"))
+        zero = F.lit(0.0).alias("score")
+        whole = whole.select(*(zero if c == "score" else c for c in whole.columns)).unionByName(weights)
+        rare = rare.withColumn("score", F.lit(0.0))
     # Equal rows were summed into one: share the sums out to as many rows again.
     sums = whole.unionByName(rare).groupBy("id", "h").agg(*(F.sum(c).alias(c) for c in ("m", "n_tokens", "n_known", "base", "score")))
     sums = sums.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("m"))))
@@ -307,6 +329,207 @@ def score(model: Model, docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
 
 
+def _bigram(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Hash of two words, as ``windows`` of size 2 gives it."""
+    return mix(join_hashes(left, right) + np.uint64(2))
+
+
+@dataclass
+class Counts:
+    """Sorted hashes and their counts."""
+
+    keys: np.ndarray
+    counts: np.ndarray
+
+    @classmethod
+    def of(cls, keys: np.ndarray, counts: np.ndarray) -> Counts:
+        order = np.argsort(keys)
+        return cls(keys[order], counts[order])
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Count of each key, 0 if it is not here."""
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int64)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.counts[at], 0)
+
+
+def _places(batches, common, groups: int, turn: int):
+    """Rows (bucket, lists): the places of a slice of texts by the group that counts their trigrams.
+
+    A place is a word w, the one before it b and the hash p of the two before it (0: none). Places with one
+    bigram (b, w) meet in one group; those of a common bigram, whose count is broadcast, meet by
+    trigram, and common trigrams are not sent. ``v`` is what broadcast counts add to a text's score.
+    """
+    for batch in text_slices(batches, "t", SLICE):
+        h, first = tokens(batch.column("t"))
+        size = np.diff(first)
+        row = np.repeat(np.arange(len(size)), size)
+        text = batch.column("h").to_numpy().view(np.uint64)
+        nth = np.arange(len(h)) - first[row]
+        b = np.where(nth > 0, np.roll(h, 1), np.uint64(0))
+        p = np.where(nth > 1, _bigram(np.roll(b, 1), b), np.uint64(0))
+        s = _bigram(b, h)
+        c2 = np.where(nth > 0, common["pairs"].find(s), 0)
+        c3 = np.where(nth > 1, common["triples"].find(join_hashes(p, s)), 0)
+        if turn == 0:
+            v = np.zeros(len(h))
+            after = (c2 > 0) & (h != END)
+            v[after] -= np.log10(c2[after])
+            v[c3 > 0] += np.log10(c3[c3 > 0] - DISCOUNT)
+            lists = [[x] for x in (batch.column("id"), batch.column("h"), batch.column("learn"))]
+            yield _place_row(int(text[0] % np.uint64(groups)), *(x[0] for x in lists), np.zeros(len(size), np.int32), np.add.reduceat(v, first[:-1]), h[:0], h[:0], h[:0])
+        key = np.where(nth > 1, np.where(c2 > 0, join_hashes(p, s), s), np.where((nth > 0) & (c2 == 0), s, mix(text[row] + _ONE)))
+        bucket = (mix(key) % np.uint64(groups)).astype(np.int64)
+        sent = np.flatnonzero((c3 == 0) & (bucket % PASSES == turn))
+        sent = sent[np.argsort(bucket[sent], kind="stable")]
+        cuts = np.flatnonzero(np.diff(bucket[sent])) + 1
+        for at in np.split(sent, cuts) if len(sent) else []:
+            begin = np.flatnonzero(np.append(True, np.diff(row[at]) != 0))
+            rows = pa.array(row[at][begin])
+            named = (batch.column(c).take(rows) for c in ("id", "h", "learn"))
+            yield _place_row(int(bucket[at[0]]), *named, np.diff(np.append(begin, len(at))).astype(np.int32), np.zeros(len(rows)), p[at], b[at], h[at])
+
+
+_ONE = np.uint64(1)
+PLACES = "bucket long, id array<long>, h array<long>, learn array<boolean>, n array<int>, v array<double>, p array<long>, b array<long>, w array<long>"
+FOUND = "kind int, id long, h long, p long, b long, w long, c long, t long, a double, v double"
+
+
+def _place_row(bucket, id_, h, learn, n, v, *words):
+    lists = [id_, h, learn, pa.array(n), pa.array(v), *(pa.array(x.view(np.int64)) for x in words)]
+    names = ["id", "h", "learn", "n", "v", "p", "b", "w"]
+    whole = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]
+    return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), *whole], ["bucket", *names])
+
+
+def _found(kind: int, n: int, **columns) -> pa.RecordBatch:
+    fields = [(f.split()[0], {"int": pa.int32(), "long": pa.int64(), "double": pa.float64()}[f.split()[1]]) for f in FOUND.split(", ")]
+    given = {"kind": np.full(n, kind, np.int32), **columns}
+    arrays = [given[c] if c in given else pa.nulls(n, type_) for c, type_ in fields]
+    arrays = [pa.array(x.view(np.int64) if x.dtype == np.uint64 else x) if isinstance(x, np.ndarray) else x for x in arrays]
+    return pa.RecordBatch.from_arrays([x.cast(t) for x, (_, t) in zip(arrays, fields, strict=True)], [c for c, _ in fields])
+
+
+def _arcs(table: pa.Table, common) -> pa.Table:
+    """What one group knows: see ``score_corpus`` for the kinds of rows."""
+    lists = {c: table.column(c).combine_chunks().flatten() for c in table.column_names if c != "bucket"}
+    n, learn, v = (lists[c].to_numpy(zero_copy_only=False) for c in ("n", "learn", "v"))
+    p, b, w = (lists[c].to_numpy().view(np.uint64) for c in ("p", "b", "w"))
+    row = np.repeat(np.arange(len(n)), n)
+    taught, s = learn[row], _bigram(b, w)
+    second, third = b != 0, p != 0
+    broadcast = np.where(second, common["pairs"].find(s), 0)
+    _, place2, of2 = np.unique(s, return_index=True, return_inverse=True)
+    c2 = np.where(broadcast > 0, broadcast, np.bincount(of2, taught & second, len(place2)).astype(np.int64)[of2])
+    _, place3, of3 = np.unique(join_hashes(p, s), return_index=True, return_inverse=True)
+    c3 = np.bincount(of3, taught & third, len(place3)).astype(np.int64)[of3]
+    value = np.zeros(len(w))
+    value[c3 > 0] += np.log10(c3[c3 > 0] - DISCOUNT)
+    after = (broadcast == 0) & (c2 > 0) & (w != END)
+    value[after] -= np.log10(c2[after])
+    total = v + np.bincount(row, value, len(n))
+    ids = {c: lists[c] for c in ("id", "h")}
+    out = [_found(0, len(n), **ids, v=total)]
+    miss = np.flatnonzero(c3 == 0)
+    out.append(_found(1, len(miss), **{c: x.take(pa.array(row[miss])) for c, x in ids.items()}, p=p[miss], b=b[miss], w=w[miss], c=c2[miss]))
+    known = place3[c3[place3] > 0]
+    history, of = np.unique(p[known], return_inverse=True)
+    out.append(_found(2, len(history), p=history, t=np.bincount(of, minlength=len(history)), a=np.bincount(of, c2[known], len(history))))
+    known = place2[(c2[place2] > 0) & (broadcast[place2] == 0)]
+    out += _followers(b[known], w[known], common["words"].find(w[known]))
+    return pa.Table.from_batches(out)
+
+
+def _followers(b, w, c):
+    """Rows of kind 3: words with their number of followers and the sum of c + 1; kind 4: the word and a rare follower."""
+    rare = c == 0
+    history, of = np.unique(b[~rare], return_inverse=True)
+    t, a = np.bincount(of, minlength=len(history)), np.bincount(of, c[~rare] + 1.0, len(history))
+    return [_found(3, len(history), b=history, t=t, a=a), _found(4, int(rare.sum()), b=b[rare], w=w[rare])]
+
+
+def score_corpus(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, Model]:
+    """``score`` of all rows by the model of order 3 that keeps every n-gram of the rows with ``learn``.
+
+    The automaton is never in one place. Each place of a text looks up the arc of its last two words and itself; where
+    there is none, it takes the failure arc to the state of its last word, then to the empty history. Arcs and
+    failure weights are what groups of places count (``POSITIONS`` a group); only the at most ``1 / COMMON`` n-grams
+    of that share of the training tokens, which would make large groups, are broadcast with their counts.
+
+    All training n-grams are kept, so a state h of count c, t followers and followers' counts A below its
+    failure state f has 1 - direct = DISCOUNT * t / c and 1 - lower = 1 - (A - DISCOUNT * t) / c(f).
+    The factor 1 / c of arcs and failure arcs alike is added where the bigram h itself ends.
+    """
+    texts = _texts(docs.where(learn), text_col)
+    model = train(docs.where(learn), text_col, order=1)
+    all_, spark = float(model.n + model.v + 1), docs.sparkSession
+    rows, scored = _scored(model, docs, id_col, text_col, learn)
+    places = scored.agg(F.sum("n_tokens")).first()[0] or 0
+    groups = PASSES * (1 + places // (POSITIONS * PASSES))
+    grams = kept_ngrams(texts, 3, max(COMMON * model.n, 1)).toArrow() if model.n else None  # at most 1/COMMON rows a length
+    table = model.counts.where(F.col("c") >= model.least).toArrow()
+    empty = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    common = {"words": Counts.of(table["k"].to_numpy().view(np.uint64), table["c"].to_numpy()), "pairs": Counts(*empty), "triples": Counts(*empty)}
+    fixed = []
+    if grams is not None and len(grams):
+        x, y, c = (grams[name].to_numpy().view(np.uint64) for name in ("w0", "w1", "c"))
+        z = grams["w2"].fill_null(0).to_numpy().view(np.uint64)
+        two, c = grams["w2"].is_null().to_numpy(), c.view(np.int64)
+        common["pairs"] = Counts.of(_bigram(x[two], y[two]), c[two])
+        p, s = _bigram(x[~two], y[~two]), _bigram(y[~two], z[~two])
+        common["triples"] = Counts.of(join_hashes(p, s), c[~two])
+        history, of = np.unique(p, return_inverse=True)
+        a = np.bincount(of, common["pairs"].find(s), len(history))
+        fixed = [_found(2, len(history), p=history, t=np.bincount(of, minlength=len(history)), a=a)]
+        fixed += _followers(x[two], y[two], common["words"].find(y[two]))
+    shared = spark.sparkContext.broadcast(common)
+
+    def group(table):
+        return _arcs(table, shared.value)
+
+    first = stage(spark.createDataFrame(pa.Table.from_batches(fixed or [_found(0, 0)]), FOUND), "common_arcs")
+    kinds = {name: [] for name in ("values", "failed", "states", "followers")}
+    for turn in range(-1, PASSES):
+        if turn < 0:
+            part = first
+        else:
+            sent = rows.mapInArrow(lambda batches, turn=turn: _places(batches, shared.value, groups, turn), PLACES)
+            part = stage(sent.groupBy("bucket").applyInArrow(group, FOUND), "arcs")
+            release(part)
+        kinds["values"].append(part.where("kind = 0").groupBy("id", "h").agg(F.sum("v").alias("v")))
+        kinds["failed"].append(part.where("kind = 1").select("id", "h", "p", "b", "w", "c"))
+        kinds["states"].append(part.where("kind = 2").groupBy("p").agg(F.sum("t").alias("t2"), F.sum("a").alias("a2")))
+        kinds["followers"].append(part.where("kind > 2").select("b", "w", "t", "a"))
+        for name, tables in kinds.items():
+            tables[-1] = stage(tables[-1], name)
+        discard(part)
+    values, missed, states, pairs = (functools.reduce(DataFrame.unionByName, tables) for tables in kinds.values())
+    counts = model.counts.select(F.col("k").alias("w"), F.col("c").alias("c1"))
+    states = stage(states.groupBy("p").agg(F.sum("t2").alias("t2"), F.sum("a2").alias("a2")), "states")
+    rare = pairs.where("w IS NOT NULL").select("b", "w").join(counts, "w")
+    rare = rare.select("b", F.lit(1).cast("long").alias("t"), (F.col("c1") + 1).cast("double").alias("a"))
+    followers = pairs.where("w IS NULL").select("b", "t", "a").unionByName(rare)
+    followers = stage(followers.groupBy("b").agg(F.sum("t").alias("t1"), F.sum("a").alias("a1")), "followers")
+    discard(*kinds["states"], *kinds["followers"])
+    release(followers)
+    asked = stage(missed.join(states, "p", "left").drop("p"), "missed_arcs")
+    discard(*kinds["failed"], states)
+    release(asked)
+    failed = asked.join(followers, "b", "left").join(counts.toDF("b", "cb"), "b", "left")
+    failed = stage(failed.select("id", "h", "w", "c", "t2", "a2", "t1", "a1", "cb"), "failed_arcs")
+    discard(asked)
+    release(failed)
+    to_word = F.log10(DISCOUNT * F.col("t2")) - F.log10(1 - (F.col("a2") - DISCOUNT * F.col("t2")) / F.col("cb"))
+    to_empty = F.log10(DISCOUNT * F.col("t1") / F.col("cb")) - F.log10(1 - F.col("a1") / all_)
+    arc = F.when(F.col("c") > 0, F.log10(F.col("c") - DISCOUNT) - F.log10("cb")).otherwise(F.coalesce(to_empty, F.lit(0.0)))
+    weights = failed.select("id", "h", (F.coalesce(to_word, F.lit(0.0)) + arc).alias("v"))
+    own = failed.where("c = 0").select("id", "h", "w").join(counts, "w", "left")
+    own = own.select("id", "h", F.log10((F.coalesce("c1", F.lit(0)) + 1) / all_).alias("v"))
+    weights = values.unionByName(weights).unionByName(own)
+    return _summed(model, scored, id_col, weights), model
+
+
 def _rows(batch, row, key, m, n_tokens=None, n_known=None, base=None, score=None):
     """One row a text (key None), or one a rare word of a text."""
     at, n = pa.array(row), len(row)

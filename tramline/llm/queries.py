@@ -67,8 +67,7 @@ def op7_lm_scoring(spark, sf_dir):
     """Scores of every document by a model of those whose fold is not 2."""
     docs = table(spark, sf_dir, "documents")
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7))
-    model = lm.train(docs.where(fold != 2))
-    found = lm.score(model, docs)
+    found, model = lm.score_corpus(docs, fold != 2)
     return found.select(
         "doc_id",
         F.coalesce(fold == 2, F.lit(False)).alias("held_out"),
