@@ -59,7 +59,7 @@ def hashed(spark, texts):
     return out
 
 
-def brute(spark, docs, most=12, similarity=0.8):
+def brute(spark, docs, most=12, similarity=0.8, few=-1):
     """{id: kept text}; hashes of words come from Spark, all else is computed here."""
     places = {}
     for i, t in docs:
@@ -80,7 +80,10 @@ def brute(spark, docs, most=12, similarity=0.8):
             k = root[k]
         return k
 
-    for a, b in {(a, b) for m in members.values() for a in m for b in m if a < b}:
+    met = {(a, b) for m in members.values() for a in m for b in m if a < b}
+    if few >= 0:  # pairs whose SimHashes alone bring them together
+        met |= {(a, b) for b in range(len(keys)) for a in range(b) if (fp[keys[a]] ^ fp[keys[b]]).bit_count() <= few}
+    for a, b in met:
         a, b = keys[a], keys[b]
         if (fp[a] ^ fp[b]).bit_count() <= most and (fp2[a] ^ fp2[b]).bit_count() <= most + lines.PAIRS_MORE:
             if 1 - edit(a, b) / max(len(a), len(b)) >= similarity - 1e-12:
@@ -219,3 +222,59 @@ def test_inner_punctuation_does_not_tell_lines_apart(spark, docs):
     pairs = [("hello, world", "hello world"), ("a-b", "A b"), ("well \u2013 yes", "well yes"), ("\u201cit\u201d is", "it is"), ("\u2192\u2192", "\u2192\u2192")]
     rows = [(2 * i + j, t, "en", "s", 1) for i, two in enumerate(pairs) for j, t in enumerate(two)]
     assert sorted(r.id for r in lines.removed_lines(docs(rows)).collect()) == [1, 3, 5, 7, 9]
+
+
+def test_large_near_groups_spare_most_pairs(spark, docs, monkeypatch):
+    """Variants of one line in two steps: the first centres leave many outside, yet few pairs are left to compare."""
+    rng = random.Random(11)
+    vocabulary = ["".join(rng.choices("abcdefghijkl", k=5)) for _ in range(2000)]
+    base, out = rng.choices(vocabulary, k=40), []
+    for _ in range(150):
+        line = list(base)
+        for at in rng.sample(range(40), 4):
+            line[at] = rng.choice(vocabulary)
+        out.append(" ".join(line))
+    counted, verified = [], lines.verified
+
+    def count(pairs, *rest):
+        counted.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(lines, "verified", count)
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(out)]
+    got = {r.doc_id: r.text for r in lines.dedup_lines(docs(rows)).collect()}
+    assert got == brute(spark, [r[:2] for r in rows], few=lines.FEW_BITS)
+    assert sum(counted) < 20 * len(rows)
+
+
+def test_near_simhashes_without_a_common_block_of_words(spark, docs):
+    rng = random.Random(5)
+    vocabulary = ["".join(rng.choices("abcdefghijkl", k=5)) for _ in range(3000)]
+    tried = []
+    for _ in range(1500):
+        line = rng.choices(vocabulary, k=40)
+        other = list(line)
+        for at in (4, 11, 18, 25, 32, 36):
+            other[at] = rng.choice(vocabulary)
+        tried.append((" ".join(line), " ".join(other)))
+    h, wanted = hashed(spark, [t for two in tried for t in two]), []
+    for two in tried:
+        fp = [majority([h[x] for x in t.split(" ")]) for t in two]
+        fp2 = [majority([h[x] for x in followed(t)]) for t in two]
+        a, b = (blocks(t.split(" "), h) for t in two)
+        if not a & b and (fp[0] ^ fp[1]).bit_count() <= 3 and (fp2[0] ^ fp2[1]).bit_count() <= 18 and edit(*two) <= 0.2 * len(two[0]):
+            wanted.append(two)
+    assert wanted
+    rows = [(2 * i + j, t, "en", "s", 1) for i, two in enumerate(wanted) for j, t in enumerate(two)]
+    assert sorted(r.id for r in lines.removed_lines(docs(rows)).collect()) == [2 * i + 1 for i in range(len(wanted))]
+
+
+def test_fingerprints_of_any_length(spark):
+    rng = random.Random(2)
+    texts = [" ".join(rng.choices("abcdefgh", k=n)) for n in (1, 2, 6, 7, 8, 14, 15, 300)]
+    texts.append(" ".join(rng.choices("abcdefgh", k=lines.PART + 9)))
+    table = spark.createDataFrame(list(enumerate(texts)), "node long, line string")
+    h = hashed(spark, texts)
+    for pairs, of in ((False, lambda t: t.split(" ")), (True, followed)):
+        got = {r.node: r.fp & (1 << 64) - 1 for r in lines.fingerprints(table, pairs).collect()}
+        assert got == {i: majority([h[x] for x in of(t)]) for i, t in enumerate(texts)}

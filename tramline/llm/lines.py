@@ -5,20 +5,22 @@ space, none at either end (of a line without letters and digits only the ends ar
 distinct lines link if they have a block in common, the SimHashes of their words differ in at most
 ``max_distance`` bits and those of their word pairs in ``PAIRS_MORE`` more, and their edit similarity, 1 - distance / longer length, is at least ``similarity``.
 
-Lines of edit similarity 0.8 may differ in 9 to 14 of the 64 bits of their SimHashes (measured in the README),
-and blocks of so many bits that some block is sure to agree have 4 to 6 bits, which select nothing. So the
-pigeonhole blocks are blocks of the line with SimHashes of their own: its first and last ``BLOCK``
+The SimHash of each line, of its words, is cut into ``PIECES`` pieces, any two of which are a block: lines that differ in
+3 bits or fewer surely share one. Lines of edit similarity 0.8 may differ in 9 to 14 of the 64 bits (measured in the README),
+and blocks of which some is sure to agree then have 4 to 6 bits, which select nothing. So there are further
+blocks with SimHashes of their own: the line's first and last ``BLOCK``
 words, and those from each anchor on. Anchors are words chosen by their own hash, 4 to 8 in most lines, so that
 they do not move with edits elsewhere; two lines that differ in fewer places than blocks lie apart have an
 equal one. A line of fewer words than a block has the block of all its words and, with 3 words or more, those that
 leave out one of them.
 
 A block's SimHash is that of its word pairs (of the words, in a line shorter than a block), plain bit
-arithmetic on its row, so only keys are shuffled. The SimHash of a whole line, of its words, is taken only
+arithmetic on its row, so only keys are shuffled. The SimHash of a line's word pairs is taken only
 of lines that share a block with another one.
 
 A bucket of at most ``SMALL`` lines compares all. In a larger one each line first meets the smallest line
-alone; then only pairs that are not yet in one group are compared, in cells of ``CELL`` lines squared, so a
+alone. Lines outside the bucket's largest group then meet ``DRAWS`` lines of it and as many of the others, turn by turn, as
+long as that links many. Only then all pairs that are not yet in one group are compared, in cells of ``CELL`` lines squared, so a
 large group never yields all its pairs and a large bucket is spread over many tasks. Fingerprints and
 lengths are compared in the join; only the few pairs that pass have their texts compared.
 
@@ -28,6 +30,8 @@ apart by a 64-bit hash.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +40,10 @@ from tramline.session import stage
 
 SMALL = 2
 CELL = 512
+DRAWS = 8
+WORTH = 0.1  # of the pairs with new centres, the share that must link for another turn
+PIECES = 5  # of a line's SimHash
+FEW_BITS = 3  # by which SimHashes may differ that meet by two pieces
 BLOCK = 8  # words, four pairs
 DENSITY = 2  # a line of 2^k words has an anchor in 2^(k - DENSITY) words, 2 at least
 MAX_DISTANCE = 12  # bits of 64
@@ -43,7 +51,7 @@ PAIRS_MORE = 6  # bits by which SimHashes of word pairs may differ beyond that:
 BROADCAST_ROWS = 1_000_000  # of at most three longs each
 BROADCAST_NUMBERS = 4_000_000  # of 4 bytes each
 EDGE = " \t\r\x0b\x0c.,;:!?*#$%&-_'\"()[]"  # what does not count at the ends of a line without words
-PARTS = 1024  # sums of one line are kept apart by word, so that no count reaches 2^29
+PART = 7 * 4680  # words of a line that are counted in 16 bits
 
 
 def line_nodes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -114,18 +122,44 @@ def _simhash(words):
     return F.aggregate(words, F.struct(*(F.lit(0).cast("long").alias(name) for name in names)), add, majority)
 
 
+def pigeonhole_keys(prints: DataFrame) -> DataFrame:
+    """(key, node, fp): any two of the ``PIECES`` pieces of each SimHash; two that differ in 3 bits or fewer have a key in common."""
+    cuts = [64 * i // PIECES for i in range(PIECES + 1)]
+    masks = [(1 << high) - (1 << low) for low, high in itertools.pairwise(cuts)]
+    masks = [((x | y) ^ (1 << 63)) - (1 << 63) for x, y in itertools.combinations(masks, 2)]  # as signed longs
+    keys = F.array(*(F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(mask))) for i, mask in enumerate(masks)))
+    return prints.select(F.explode(keys).alias("key"), "node", "fp")
+
+
 def fingerprints(lines: DataFrame, pairs: bool = False) -> DataFrame:
-    """(node, fp): SimHash of the words of each line (node, line); with ``pairs`` of each word and the next."""
+    """(node, fp): SimHash of the words of each line (node, line); with ``pairs`` of each word and the next.
+
+    Seven words at a time are added up bit by bit, as three binary digits, in full adders; then four counts of 16 bits
+    stand in a long, at last two of 32.
+    """
+    words = lines.select("node", F.split("line", " ").alias("w")).withColumn("n", F.size("w"))
+    words = words.select("node", "n", "w", F.explode(F.sequence(F.lit(0), F.col("n") - 1, F.lit(7))).alias("i"))
+
+    def word(j):
+        i = F.col("i") + j
+        both = (F.get("w", i), F.coalesce(F.get("w", i + 1), F.lit(""))) if pairs else (F.get("w", i),)
+        return F.when(i < F.col("n"), F.xxhash64(*both)).otherwise(F.lit(0).cast("long"))
+
+    part = F.floor(F.col("i") / PART).cast("int").alias("part")
+    sums = words.select("node", "n", part, *(word(j).alias(f"h{j}") for j in range(7)))
+    kept = ["node", "n", "part"]
+    sums = sums.select(*kept, "h6", *_added("h0", "h1", "h2", "s", "c"), *_added("h3", "h4", "h5", "t", "d"))
+    sums = sums.select(*kept, "c", "d", *_added("s", "t", "h6", "ones", "e"))
+    sums = sums.select(*kept, "ones", *_added("c", "d", "e", "twos", "fours"))
+
+    def lanes(name, j):
+        return F.shiftrightunsigned(F.col(name), j).bitwiseAND(F.lit(0x0001000100010001))
+
+    four = [F.sum(lanes("ones", j) + lanes("twos", j) * 2 + lanes("fours", j) * 4).alias(f"l{j}") for j in range(16)]
+    counts = sums.groupBy(*kept).agg(*four)
     both = 0x100000001  # a bit and the one 32 places higher
-    sums = [F.sum(F.shiftrightunsigned(F.col("h"), j).bitwiseAND(F.lit(both))).alias(f"s{j}") for j in range(32)]
-    words = F.split("line", " ")
-    if pairs:
-        words = F.arrays_zip(words.alias("a"), F.concat(F.slice(words, 2, 1 << 30), F.array(F.lit(""))).alias("b"))
-    words = lines.select("node", F.posexplode(words).alias("i", "w"))
-    h = F.xxhash64("w.a", "w.b") if pairs else F.xxhash64("w")
-    words = words.select("node", (F.col("i") % PARTS).alias("part"), h.alias("h"))
-    counts = words.groupBy("node", "part").agg(F.count("*").alias("n"), *sums)
-    counts = counts.groupBy("node").agg(F.sum("n").alias("n"), *(F.sum(f"s{j}").alias(f"s{j}") for j in range(32)))
+    wide = [F.shiftrightunsigned(F.col(f"l{j % 16}"), j // 16 * 16).bitwiseAND(F.lit(0xFFFF * both)) for j in range(32)]
+    counts = counts.groupBy("node", "n").agg(*(F.sum(x).alias(f"s{j}") for j, x in enumerate(wide)))
     # Majorities of both halves at once: 2 * ones + (2^30 - 1 - n) has bit 30 if 2 * ones > n.
     least = (F.lit((1 << 30) - 1) - F.col("n")) * both
     fp = F.lit(0).cast("long")
@@ -135,6 +169,13 @@ def fingerprints(lines: DataFrame, pairs: bool = False) -> DataFrame:
     return counts.withColumn("least", least).select("node", fp.alias("fp"))
 
 
+def _added(x: str, y: str, z: str, digit: str, carry: str) -> tuple[Column, Column]:
+    """A full adder of three columns, bit by bit."""
+    x, y, z = F.col(x), F.col(y), F.col(z)
+    either = x.bitwiseXOR(y)
+    return either.bitwiseXOR(z).alias(digit), x.bitwiseAND(y).bitwiseOR(z.bitwiseAND(either)).alias(carry)
+
+
 def _bound(value, use):
     """``use(value)`` with the value computed once."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
@@ -203,25 +244,39 @@ def links(lines: DataFrame, max_distance: int = MAX_DISTANCE, similarity: float
 
     Lines may repeat: a hot line reaches the shuffle once a task and key.
     """
-    keys = stage(block_keys(lines), "line_keys")
+    whole = stage(fingerprints(lines.groupBy("node").agg(F.min("line").alias("line"))), "word_prints")
+    release(whole)
+    keys = pigeonhole_keys(whole)
+    found = keys.groupBy("key").agg(
+        F.min("node").alias("centre"), F.max("node").alias("other"), F.count("*").alias("n"),
+        F.bit_count(F.bit_or("fp").bitwiseXOR(F.bit_and("fp"))).alias("bits"),
+    )
+    # Two lines alone that are too far apart need no bucket.
+    buckets = stage(found.where((F.col("n") > 2) | (F.col("n") == 2) & (F.col("bits") <= FEW_BITS)).select("key", "centre"), "buckets")
+    release(found)
+    few = F.lit(min(FEW_BITS, max_distance)).alias("most")
+    alike = stage(keys.join(_small(buckets), "key").select("key", "node", "centre", few), "shared_keys")
+    keys = stage(block_keys(lines).select("key", "node"), "line_keys")
     found = keys.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("other")).where("centre <> other")
     buckets = stage(found.select("key", "centre"), "buckets")
     release(found)
-    shared = stage(keys.join(_small(buckets), "key").distinct(), "shared_keys")
-    discard(keys)
+    shared = keys.join(_small(buckets), "key").distinct().withColumn("most", F.lit(max_distance))
+    shared = stage(shared.unionByName(alike), "shared_keys")
+    discard(keys, alike)
     asked = stage(shared.select("node").distinct(), "shared_nodes")
     texts = lines.select("node", "line").join(_small(asked), "node", "left_semi")
     texts = stage(texts.groupBy("node").agg(F.min("line").alias("line")), "line_texts")
-    texts_dealt = texts.repartition("node")
-    prints = fingerprints(texts_dealt).join(fingerprints(texts_dealt, pairs=True).withColumnRenamed("fp", "fp2"), "node")
+    pairs = fingerprints(texts.repartition("node"), pairs=True).withColumnRenamed("fp", "fp2")
+    prints = texts.select("node", F.length("line").alias("size")).join(whole, "node").join(pairs, "node")
     prints = stage(prints, "line_prints")
+    discard(whole)
     sizes = stage(shared.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "bucket_sizes")
     shared = stage(shared.join(prints, "node").join(sizes, "key"), "printed_keys")
     release(shared)
 
     little, large = shared.where(F.col("n") <= SMALL), shared.where(F.col("n") > SMALL)
     pairs = _pairs(little.alias("x").join(little.alias("y"), "key").where("x.node < y.node"), max_distance, similarity)
-    centres = large.where("node = centre").select("key", "node", "fp", "fp2", "size")
+    centres = large.where("node = centre").select("key", "node", "most", "fp", "fp2", "size")
     met = large.where("node <> centre").alias("x").join(_small(stage(centres, "centres")).alias("y"), "key")
     pairs = stage(pairs.unionByName(_pairs(met, max_distance, similarity)).distinct(), "line_pairs")
     edges = stage(verified(pairs, texts, similarity), "line_edges")
@@ -229,30 +284,72 @@ def links(lines: DataFrame, max_distance: int = MAX_DISTANCE, similarity: float
     if large.isEmpty():
         return groups
 
-    tagged = large.join(groups, "node", "left").select("key", "node", "fp", "fp2", "size", F.coalesce("component", "node").alias("g"))
-    tagged = stage(tagged, "tagged_keys")
-    members = stage(tagged.groupBy("key", "g").agg(F.count("*").alias("n")), "group_sizes")
-    mixed = members.groupBy("key").agg(F.count("*").alias("groups"), F.max("n").alias("n"), F.sum("n").alias("lines")).where("groups > 1")
-    main = members.join(stage(mixed, "mixed"), ["key", "n"]).groupBy("key").agg(F.min("g").alias("main"), F.min("lines").alias("lines"))
-    main = stage(main.select("key", "main", F.ceil(F.col("lines") / CELL).cast("int").alias("cells")), "main_groups")
-    dealt = tagged.join(main, "key").withColumn("cell", F.pmod(F.xxhash64("node"), F.col("cells")).cast("int"))
+    for turn in itertools.count():
+        tagged, main = _mixed_buckets(large, groups)
+        if main.isEmpty():
+            return groups
+        # Most lines of a near group are near most others: a few more centres spare nearly all of its pairs.
+        met = _outside(tagged).alias("x").join(_small(_centres(tagged, turn)).alias("y"), "key").where("x.g <> y.g")
+        pairs = stage(_pairs(met, max_distance, similarity).distinct(), "centre_pairs")
+        found = stage(verified(pairs, texts, similarity), "centre_edges")
+        asked, linked = pairs.count(), found.count()
+        if linked:
+            edges = edges.unionByName(found)
+            groups = stage(components(edges), "line_groups")
+        if linked < asked * WORTH or not linked:
+            break
+        discard(tagged, main)
+    if linked:
+        tagged, main = _mixed_buckets(large, groups)
     others = F.explode(F.sequence(F.lit(0), F.col("cells") - 1))
     # Every pair of two groups has a line outside the bucket's largest group; of two such, the smaller asks.
-    asking = dealt.where("g <> main").withColumn("y_cell", others).withColumnRenamed("cell", "x_cell")
+    # A pair that shares several buckets of one kind is compared in the one of the smallest key.
+    own = stage(tagged.groupBy("node", "most").agg(F.array_sort(F.collect_set("key")).alias("keys")), "own_keys")
+    dealt = tagged.join(own, ["node", "most"]).withColumn("cell", F.pmod(F.xxhash64("node"), F.col("cells")).cast("int"))
+    asking = _outside(dealt).withColumn("y_cell", others).withColumnRenamed("cell", "x_cell")
     other = dealt.withColumn("x_cell", others).withColumnRenamed("cell", "y_cell")
     met = asking.alias("x").join(other.alias("y"), ["key", "x_cell", "y_cell"])
     met = met.where("x.g <> y.g AND (y.g = y.main OR x.node < y.node)")
-    rest = stage(_pairs(met, max_distance, similarity).distinct(), "rest_pairs")
+    once = F.array_min(F.array_intersect("x.keys", "y.keys")) == F.col("key")
+    rest = stage(_pairs(met, max_distance, similarity, once), "rest_pairs")
     rest = stage(verified(rest, texts, similarity), "rest_edges")
-    discard(tagged, members)
+    discard(tagged, main, own)
     return components(edges.unionByName(rest))
 
 
-def _pairs(met, max_distance, similarity):
-    """(a, b) of the pairs of a join of x and y whose fingerprints and lengths allow a link."""
-    near = F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= max_distance
+def _mixed_buckets(large: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The lines of buckets that have several groups, each with its group and the bucket's largest; and those buckets."""
+    tagged = large.join(groups, "node", "left").select("key", "node", "most", "fp", "fp2", "size", F.coalesce("component", "node").alias("g"))
+    tagged = stage(tagged, "tagged_keys")
+    members = stage(tagged.groupBy("key", "g").agg(F.count("*").alias("n")), "group_sizes")
+    mixed = members.groupBy("key").agg(F.count("*").alias("groups"), F.max("n").alias("n"), F.sum("n").alias("lines")).where("groups > 1")
+    main = members.join(stage(mixed, "mixed"), ["key", "n"]).groupBy("key").agg(F.min("g").alias("main"), F.min("lines").alias("lines"))
+    main = stage(main.select("key", "main", F.ceil(F.col("lines") / CELL).cast("int").alias("cells")), "main_groups")
+    dealt = stage(tagged.join(_small(main), "key"), "mixed_keys")
+    discard(tagged, members)
+    return dealt, main
+
+
+def _outside(tagged: DataFrame) -> DataFrame:
+    return tagged.where("g <> main")
+
+
+def _centres(tagged: DataFrame, turn: int) -> DataFrame:
+    """``DRAWS`` lines of each bucket's largest group and as many of its others; each turn has draws of its own."""
+    masks = [F.xxhash64(F.lit(turn), F.lit(i)) for i in range(DRAWS)]
+    least = [F.min(F.col("node").bitwiseXOR(mask)).alias(f"m{i}") for i, mask in enumerate(masks)]
+    drawn = tagged.groupBy("key", F.expr("g = main").alias("within")).agg(*least)
+    nodes = F.array(*(F.col(f"m{i}").bitwiseXOR(mask) for i, mask in enumerate(masks)))
+    drawn = stage(drawn.select("key", F.explode(F.array_distinct(nodes)).alias("node")), "drawn")
+    return stage(tagged.join(_small(drawn), ["key", "node"]).select("key", "node", "most", "fp", "fp2", "size", "g"), "centres")
+
+
+def _pairs(met, max_distance, similarity, also=None):
+    """(a, b) of the pairs of a join of x and y whose fingerprints and lengths allow a link, and that pass ``also``."""
+    near = F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= F.col("x.most")
     near &= F.bit_count(F.col("x.fp2").bitwiseXOR(F.col("y.fp2"))) <= max_distance + PAIRS_MORE
-    near = met.where(near & _alike("x.size", "y.size", similarity))
+    near &= _alike("x.size", "y.size", similarity)
+    near = met.where(near if also is None else near & also)
     return near.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
 
 
