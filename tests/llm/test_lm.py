@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest_llm import lower, words
 from pyspark.sql import functions as F
@@ -137,3 +138,22 @@ def test_the_model_of_the_query_grows_with_the_corpus(spark, tmp_path):
     got = {r.doc_id: r for r in QUERIES["op7_lm_scoring"](spark, str(tmp_path)).collect()}
     brute = Brute([t for i, t in rows if i != held], 3, 0, 0)
     assert got[held].score == pytest.approx(brute.score(rows[-1][1]), rel=1e-9)
+
+
+def test_dealing_places_takes_little_memory():
+    """Twice as much text as a slice of the automaton, in one batch."""
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    words = np.array([f"w{i}" for i in range(5000)])
+    texts = [" ".join(words[rng.integers(0, 5000, 1000)]) for _ in range(2800)]
+    n = len(texts)
+    batch = pa.RecordBatch.from_pydict({"id": pa.array(range(n)), "t": texts, "learn": [True] * n, "h": pa.array(range(n))})
+    assert batch.column("t").nbytes > 16_000_000
+    none = lm.Counts.of(np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    tracemalloc.start()
+    places = sum(len(w) for b in lm._places(iter([batch]), {"pairs": none, "triples": none}, 8, 0) for w in b.column("w"))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert 0 < places < 2 * n * 1001 / lm.PASSES
+    assert peak < 150_000_000

@@ -43,7 +43,8 @@ END = np.uint64(0x5DEECE66D1234567)  # the hash that stands for the end of a tex
 SLICE = 8 << 20  # bytes of text that advance together
 BUCKETS = 1 << 20
 COMMON = 4e-6  # share of the training tokens from which an n-gram's count is broadcast
-POSITIONS = 1 << 20  # places of texts in a group
+POSITIONS = 1 << 19  # places of texts in a group
+PLACE_SLICE = 2 << 20  # bytes of text whose places are dealt together: some 20 arrays of 8 bytes a word stand at once
 PASSES = 4  # over the texts; each sends a part of the places, so that not all stand in shuffle files at once
 WIDE = 32  # bucket sums in one row
 DISCOUNT = 0.5
@@ -361,7 +362,7 @@ def _places(batches, common, groups: int, turn: int):
     bigram (b, w) meet in one group; those of a common bigram, whose count is broadcast, meet by
     trigram, and common trigrams are not sent. ``v`` is what broadcast counts add to a text's score.
     """
-    for batch in text_slices(batches, "t", SLICE):
+    for batch in text_slices(batches, "t", PLACE_SLICE):
         h, first = tokens(batch.column("t"))
         size = np.diff(first)
         row = np.repeat(np.arange(len(size)), size)
