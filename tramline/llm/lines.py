@@ -30,6 +30,7 @@ apart by a 64-bit hash.
 
 from __future__ import annotations
 
+import functools
 import itertools
 
 from pyspark.sql import Column, DataFrame
@@ -122,12 +123,15 @@ def _simhash(words):
     return F.aggregate(words, F.struct(*(F.lit(0).cast("long").alias(name) for name in names)), add, majority)
 
 
-def pigeonhole_keys(prints: DataFrame) -> DataFrame:
-    """(key, node, fp): any two of the ``PIECES`` pieces of each SimHash; two that differ in 3 bits or fewer have a key in common."""
+def pigeonhole_keys(prints: DataFrame, turn: int) -> DataFrame:
+    """(key, node, fp): two of the ``PIECES`` pieces of each SimHash, any two over ``PIECES`` turns.
+
+    Two that differ in 3 bits or fewer have a key in common.
+    """
     cuts = [64 * i // PIECES for i in range(PIECES + 1)]
     masks = [(1 << high) - (1 << low) for low, high in itertools.pairwise(cuts)]
     masks = [((x | y) ^ (1 << 63)) - (1 << 63) for x, y in itertools.combinations(masks, 2)]  # as signed longs
-    keys = F.array(*(F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(mask))) for i, mask in enumerate(masks)))
+    keys = F.array(*(F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(masks[i]))) for i in range(turn, len(masks), PIECES)))
     return prints.select(F.explode(keys).alias("key"), "node", "fp")
 
 
@@ -246,23 +250,34 @@ def links(lines: DataFrame, max_distance: int = MAX_DISTANCE, similarity: float
     """
     whole = stage(fingerprints(lines.groupBy("node").agg(F.min("line").alias("line"))), "word_prints")
     release(whole)
-    keys = pigeonhole_keys(whole)
-    found = keys.groupBy("key").agg(
-        F.min("node").alias("centre"), F.max("node").alias("other"), F.count("*").alias("n"),
-        F.bit_count(F.bit_or("fp").bitwiseXOR(F.bit_and("fp"))).alias("bits"),
-    )
-    # Two lines alone that are too far apart need no bucket.
-    buckets = stage(found.where((F.col("n") > 2) | (F.col("n") == 2) & (F.col("bits") <= FEW_BITS)).select("key", "centre"), "buckets")
-    release(found)
-    few = F.lit(min(FEW_BITS, max_distance)).alias("most")
-    alike = stage(keys.join(_small(buckets), "key").select("key", "node", "centre", few), "shared_keys")
+    few, alike = F.lit(min(FEW_BITS, max_distance)).alias("most"), []
+    for turn in range(PIECES):  # a part of the keys at a time, so that not all stand in shuffle files at once
+        keys = pigeonhole_keys(whole, turn)
+        found = keys.groupBy("key").agg(
+            F.count("*").alias("n"), F.bit_count(F.bit_or("fp").bitwiseXOR(F.bit_and("fp"))).alias("bits")
+        )
+        # Two lines alone that are too far apart need no bucket.
+        found = found.where((F.col("n") > 2) | (F.col("n") == 2) & (F.col("bits") <= FEW_BITS))
+        buckets = stage(found.select("key", "n"), "buckets")
+        release(found)
+        met = stage(keys.join(_small(buckets), "key"), "met_keys")
+        # Chance brings most together: of all but large buckets only lines with another one in reach stay.
+        x, y = met.where(F.col("n") <= CELL).alias("x"), met.where(F.col("n") <= CELL).alias("y")
+        near = F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= FEW_BITS
+        near = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") != F.col("y.node")) & near, "left_semi")
+        alike.append(stage(near.unionByName(met.where(F.col("n") > CELL)).select("key", "node"), "alike_keys"))
+        discard(met)
+    together = functools.reduce(DataFrame.unionByName, alike)
+    centres = together.groupBy("key").agg(F.min("node").alias("centre"))
+    together = together.join(centres, "key").select("key", "node", "centre", few)
     keys = stage(block_keys(lines).select("key", "node"), "line_keys")
     found = keys.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("other")).where("centre <> other")
     buckets = stage(found.select("key", "centre"), "buckets")
     release(found)
     shared = keys.join(_small(buckets), "key").distinct().withColumn("most", F.lit(max_distance))
-    shared = stage(shared.unionByName(alike), "shared_keys")
-    discard(keys, alike)
+    shared = stage(shared.unionByName(together), "shared_keys")
+    discard(keys, *alike)
+    release(shared)
     asked = stage(shared.select("node").distinct(), "shared_nodes")
     texts = lines.select("node", "line").join(_small(asked), "node", "left_semi")
     texts = stage(texts.groupBy("node").agg(F.min("line").alias("line")), "line_texts")
