@@ -157,3 +157,17 @@ def test_dealing_places_takes_little_memory():
     tracemalloc.stop()
     assert 0 < places < 2 * n * 1001 / lm.PASSES
     assert peak < 150_000_000
+
+
+def test_each_turn_settles_its_histories():
+    """Places of a word before are all of one turn, so nothing of a turn need wait for another one."""
+    texts = ["a b c a b d", "b a", "c", None, "d d d a b c"]
+    column = {"id": pa.array(range(5)), "t": pa.array(texts), "learn": [True] * 5, "h": pa.array(range(5))}
+    none = lm.Counts.of(np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    before, places = [], 0
+    for turn in range(lm.PASSES):
+        out = list(lm._places(iter([pa.RecordBatch.from_pydict(column)]), {"pairs": none, "triples": none}, 8, turn))
+        places += sum(len(w) for r in out for w in r.column("w"))
+        before.append({int(b) for r in out for b in r.column("b").values.to_pylist()} - {0})
+    assert places == sum(len(tokens(t)) for t in texts)
+    assert sum(map(len, before)) == len(set.union(*before)) == 4

@@ -45,7 +45,7 @@ BUCKETS = 1 << 20
 COMMON = 4e-6  # share of the training tokens from which an n-gram's count is broadcast
 POSITIONS = 1 << 19  # places of texts in a group
 PLACE_SLICE = 2 << 20  # bytes of text whose places are dealt together: some 20 arrays of 8 bytes a word stand at once
-PASSES = 4  # over the texts; each sends a part of the places, so that not all stand in shuffle files at once
+PASSES = 4  # a power of 2, over the texts; each settles the places of a part of the histories, and what it staged goes
 WIDE = 32  # bucket sums in one row
 DISCOUNT = 0.5
 
@@ -358,31 +358,34 @@ class Counts:
 def _places(batches, common, groups: int, turn: int):
     """Rows (bucket, lists): the places of a slice of texts by the group that counts their trigrams.
 
-    A place is a word w, the one before it b and the hash p of the two before it (0: none). Places with one
+    A place is a word w, the one before it b and the hash p of the two before it (0: none). A turn has the places of its
+    share of the words b, so that bigrams, trigrams and histories (p) are each of one turn. Places with one
     bigram (b, w) meet in one group; those of a common bigram, whose count is broadcast, meet by
     trigram, and common trigrams are not sent. ``v`` is what broadcast counts add to a text's score.
     """
     for batch in text_slices(batches, "t", PLACE_SLICE):
-        h, first = tokens(batch.column("t"))
+        words, first = tokens(batch.column("t"))
         size = np.diff(first)
         row = np.repeat(np.arange(len(size)), size)
         text = batch.column("h").to_numpy().view(np.uint64)
-        nth = np.arange(len(h)) - first[row]
-        b = np.where(nth > 0, np.roll(h, 1), np.uint64(0))
-        p = np.where(nth > 1, _bigram(np.roll(b, 1), b), np.uint64(0))
+        nth = np.arange(len(words)) - first[row]
+        share = np.where(nth > 0, np.roll(words, 1), mix(text + _ONE)[row])
+        here = np.flatnonzero(share & np.uint64(PASSES - 1) == turn)
+        row, nth, h = row[here], nth[here], words[here]
+        b = np.where(nth > 0, words[here - 1], np.uint64(0))
+        p = np.where(nth > 1, _bigram(words[here - 2], b), np.uint64(0))
         s = _bigram(b, h)
         c2 = np.where(nth > 0, common["pairs"].find(s), 0)
         c3 = np.where(nth > 1, common["triples"].find(join_hashes(p, s)), 0)
-        if turn == 0:
-            v = np.zeros(len(h))
-            after = (c2 > 0) & (h != END)
-            v[after] -= np.log10(c2[after])
-            v[c3 > 0] += np.log10(c3[c3 > 0] - DISCOUNT)
-            lists = [[x] for x in (batch.column("id"), batch.column("h"), batch.column("learn"))]
-            yield _place_row(int(text[0] % np.uint64(groups)), *(x[0] for x in lists), np.zeros(len(size), np.int32), np.add.reduceat(v, first[:-1]), h[:0], h[:0], h[:0])
+        v = np.zeros(len(h))
+        after = (c2 > 0) & (h != END)
+        v[after] -= np.log10(c2[after])
+        v[c3 > 0] += np.log10(c3[c3 > 0] - DISCOUNT)
+        lists = [[x] for x in (batch.column("id"), batch.column("h"), batch.column("learn"))]
+        yield _place_row(int(text[0] % np.uint64(groups)), *(x[0] for x in lists), np.zeros(len(size), np.int32), np.bincount(row, v, len(size)), h[:0], h[:0], h[:0])
         key = np.where(nth > 1, np.where(c2 > 0, join_hashes(p, s), s), np.where((nth > 0) & (c2 == 0), s, mix(text[row] + _ONE)))
         bucket = (mix(key) % np.uint64(groups)).astype(np.int64)
-        sent = np.flatnonzero((c3 == 0) & (bucket % PASSES == turn))
+        sent = np.flatnonzero(c3 == 0)
         sent = sent[np.argsort(bucket[sent], kind="stable")]
         cuts = np.flatnonzero(np.diff(bucket[sent])) + 1
         for at in np.split(sent, cuts) if len(sent) else []:
@@ -467,7 +470,9 @@ def score_corpus(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_co
     all_, spark = float(model.n + model.v + 1), docs.sparkSession
     rows, scored = _scored(model, docs, id_col, text_col, learn)
     places = scored.agg(F.sum("n_tokens")).first()[0] or 0
-    groups = PASSES * (1 + places // (POSITIONS * PASSES))
+    shares = model.counts.groupBy(F.col("k").bitwiseAND(PASSES - 1).alias("turn")).agg(F.sum("c").alias("c")).collect()
+    shares = {x.turn: x.c / model.n for x in shares}
+    groups = [1 + int(places * max(shares.get(turn, 0), 1 / PASSES)) // POSITIONS for turn in range(PASSES)]
     grams = kept_ngrams(texts, 3, max(COMMON * model.n, 1)).toArrow() if model.n else None  # at most 1/COMMON rows a length
     table = model.counts.where(F.col("c") >= model.least).toArrow()
     empty = np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -490,45 +495,42 @@ def score_corpus(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_co
         return _arcs(table, shared.value)
 
     first = stage(spark.createDataFrame(pa.Table.from_batches(fixed or [_found(0, 0)]), FOUND), "common_arcs")
-    kinds = {name: [] for name in ("values", "failed", "states", "followers")}
-    for turn in range(-1, PASSES):
-        if turn < 0:
-            part = first
-        else:
-            sent = rows.mapInArrow(lambda batches, turn=turn: _places(batches, shared.value, groups, turn), PLACES)
-            part = stage(sent.groupBy("bucket").applyInArrow(group, FOUND), "arcs")
-            release(part)
-        kinds["values"].append(part.where("kind = 0").groupBy("id", "h").agg(F.sum("v").alias("v")))
-        kinds["failed"].append(part.where("kind = 1").select("id", "h", "p", "b", "w", "c"))
-        kinds["states"].append(part.where("kind = 2").groupBy("p").agg(F.sum("t").alias("t2"), F.sum("a").alias("a2")))
-        kinds["followers"].append(part.where("kind > 2").select("b", "w", "t", "a"))
-        for name, tables in kinds.items():
-            tables[-1] = stage(tables[-1], name)
-        discard(part)
-    values, missed, states, pairs = (functools.reduce(DataFrame.unionByName, tables) for tables in kinds.values())
     counts = model.counts.select(F.col("k").alias("w"), F.col("c").alias("c1"))
-    states = stage(states.groupBy("p").agg(F.sum("t2").alias("t2"), F.sum("a2").alias("a2")), "states")
+    weights = []
+    for turn in range(PASSES):
+        sent = rows.mapInArrow(lambda batches, turn=turn: _places(batches, shared.value, groups[turn], turn), PLACES)
+        part = stage(sent.groupBy("bucket").applyInArrow(group, FOUND), "arcs")
+        release(part)
+        asked = stage(_asked(part, first), "missed_arcs")
+        release(asked)
+        weights.append(stage(_weights(part, first, asked, counts, all_), "weights"))
+        discard(part, asked)
+        release(weights[-1])
+    weights = functools.reduce(DataFrame.unionByName, weights)
+    return _summed(model, scored, id_col, weights), model
+
+
+def _asked(part: DataFrame, common: DataFrame) -> DataFrame:
+    """Places without an arc for their two words before them, with the sums of the state of these."""
+    known = part.unionByName(common).where("kind = 2")
+    states = known.groupBy("p").agg(F.sum("t").alias("t2"), F.sum("a").alias("a2"))
+    return part.where("kind = 1").select("id", "h", "p", "b", "w", "c").join(states, "p", "left").drop("p")
+
+
+def _weights(part: DataFrame, common: DataFrame, asked: DataFrame, counts: DataFrame, all_: float) -> DataFrame:
+    """(id, h, v): what the places of a turn add to the score of each text."""
+    pairs = part.unionByName(common).where("kind > 2")
     rare = pairs.where("w IS NOT NULL").select("b", "w").join(counts, "w")
     rare = rare.select("b", F.lit(1).cast("long").alias("t"), (F.col("c1") + 1).cast("double").alias("a"))
     followers = pairs.where("w IS NULL").select("b", "t", "a").unionByName(rare)
-    followers = stage(followers.groupBy("b").agg(F.sum("t").alias("t1"), F.sum("a").alias("a1")), "followers")
-    discard(*kinds["states"], *kinds["followers"])
-    release(followers)
-    asked = stage(missed.join(states, "p", "left").drop("p"), "missed_arcs")
-    discard(*kinds["failed"], states)
-    release(asked)
-    failed = asked.join(followers, "b", "left").join(counts.toDF("b", "cb"), "b", "left")
-    failed = stage(failed.select("id", "h", "w", "c", "t2", "a2", "t1", "a1", "cb"), "failed_arcs")
-    discard(asked)
-    release(failed)
+    followers = followers.groupBy("b").agg(F.sum("t").alias("t1"), F.sum("a").alias("a1"))
+    failed = asked.join(followers, "b", "left").join(counts.toDF("b", "cb"), "b", "left").join(counts, "w", "left")
     to_word = F.log10(DISCOUNT * F.col("t2")) - F.log10(1 - (F.col("a2") - DISCOUNT * F.col("t2")) / F.col("cb"))
     to_empty = F.log10(DISCOUNT * F.col("t1") / F.col("cb")) - F.log10(1 - F.col("a1") / all_)
-    arc = F.when(F.col("c") > 0, F.log10(F.col("c") - DISCOUNT) - F.log10("cb")).otherwise(F.coalesce(to_empty, F.lit(0.0)))
-    weights = failed.select("id", "h", (F.coalesce(to_word, F.lit(0.0)) + arc).alias("v"))
-    own = failed.where("c = 0").select("id", "h", "w").join(counts, "w", "left")
-    own = own.select("id", "h", F.log10((F.coalesce("c1", F.lit(0)) + 1) / all_).alias("v"))
-    weights = values.unionByName(weights).unionByName(own)
-    return _summed(model, scored, id_col, weights), model
+    own = F.log10((F.coalesce("c1", F.lit(0)) + 1) / all_)
+    arc = F.when(F.col("c") > 0, F.log10(F.col("c") - DISCOUNT) - F.log10("cb")).otherwise(F.coalesce(to_empty, F.lit(0.0)) + own)
+    failed = failed.select("id", "h", (F.coalesce(to_word, F.lit(0.0)) + arc).alias("v"))
+    return part.where("kind = 0").select("id", "h", "v").unionByName(failed).groupBy("id", "h").agg(F.sum("v").alias("v"))
 
 
 def _rows(batch, row, key, m, n_tokens=None, n_known=None, base=None, score=None):
