@@ -1,3 +1,4 @@
+import os
 import random
 
 import numpy as np
@@ -131,3 +132,27 @@ def test_edge_rows(spark, docs):
     assert sorted(r.doc_id or -1 for r in kept.collect()) == [-1, 3, 7, 11, 12]
     assert simhash.near_duplicates(table.where("false")).count() == 0
     assert simhash.keep_one(table.where("false")).count() == 0
+
+
+def test_rounds_of_components_leave_one_table(spark, monkeypatch):
+    """Staged tables of a round go with it; further edges only join groups."""
+    from tramline.llm import graph
+
+    staged, stage = [], graph.stage
+
+    def keep(df, name):
+        staged.append(stage(df, name))
+        return staged[-1]
+
+    monkeypatch.setattr(graph, "stage", keep)
+    rows = [(i, i + 1) for i in range(1, 40) if i % 10] + [(90, 91)]
+    edges = spark.createDataFrame(rows, "a long, b long").coalesce(2)
+    groups = stage(graph.components(edges), "groups")
+
+    def left(df):
+        return all(os.path.exists(f.removeprefix("file:")) for f in df.inputFiles())
+
+    assert len(staged) > 4 and sum(map(left, staged)) == 1
+    more = spark.createDataFrame([(5, 15), (38, 95), (91, 94)], "a long, b long")
+    got = {r.node: r.component for r in graph.merged(groups, more).collect()}
+    assert got == {i: 1 if i <= 20 else 21 if i <= 30 else 31 for i in range(1, 41)} | {95: 31, 90: 90, 91: 90, 94: 90}

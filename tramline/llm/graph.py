@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tramline.session import stage
 
+BROADCAST_EDGES = 500_000  # whose minima, of two longs a node, are broadcast
+
 
 def release(df: DataFrame) -> None:
     """Let Spark drop shuffle files that only finished, already staged work refers to."""
@@ -38,7 +40,8 @@ def components(edges: DataFrame) -> DataFrame:
     ``component`` is the smallest node that can be reached. Large-star and small-star rounds: each
     node hands its larger neighbours, then its smaller ones, over to its smallest neighbour, until
     nothing changes (a logarithmic number of rounds in practice). Minima are pre-aggregated before the shuffle
-    and staged, so the join back to the edges of a hub can be split by adaptive execution. Edges
+    and staged, so the join back to the edges of a hub can be split by adaptive execution; those of few edges are
+    broadcast, which spares half the tasks. A round's tables go when the next one is staged. Edges
     with a null end and loops are ignored; no edges give no rows.
     """
     edges = stage(
@@ -50,14 +53,31 @@ def components(edges: DataFrame) -> DataFrame:
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before or not state[0]:
             return _result(edges)
-        before = state
+        before, old = state, edges
+        small_enough = state[0] <= BROADCAST_EDGES
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = stage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        nearest = stage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
+        large = both.join(F.broadcast(nearest) if small_enough else nearest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = stage(large.distinct(), "large")
         least = stage(large.groupBy("u").agg(F.min("v").alias("m")), "least")
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = large.join(F.broadcast(least) if small_enough else least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = stage(small.unionByName(least.withColumnRenamed("m", "v")).distinct(), "edges")
+        discard(old, nearest, large, least)
+
+
+def merged(groups: DataFrame, edges: DataFrame) -> DataFrame:
+    """``groups`` (node, component), as ``components`` gives them, after further edges (a, b), staged.
+
+    Only groups and single nodes that the edges join go through rounds again.
+    """
+    small_enough = groups.count() <= 2 * BROADCAST_EDGES
+    of = F.broadcast(groups) if small_enough else groups
+    ends = edges
+    for end in ("a", "b"):
+        ends = ends.join(of.toDF(end, f"g{end}"), end, "left").withColumn(end, F.coalesce(f"g{end}", end)).drop(f"g{end}")
+    joined = stage(components(ends), "joined_groups")
+    moved = groups.join(joined.toDF("component", "to"), "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    return stage(moved.unionByName(joined.join(of, "node", "left_anti")), "merged_groups")
 
 
 def _result(edges: DataFrame) -> DataFrame:

@@ -32,11 +32,12 @@ from __future__ import annotations
 
 import functools
 import itertools
+import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tramline.llm.graph import components, discard, fresh, release
+from tramline.llm.graph import components, discard, fresh, merged, release
 from tramline.session import stage
 
 SMALL = 2
@@ -44,6 +45,7 @@ CELL = 512
 DRAWS = 8
 WORTH = 0.1  # of the pairs with new centres, the share that must link for another turn
 PIECES = 5  # of a line's SimHash
+KEYS_A_TURN = 1 << 23  # of those of two pieces, ten a line: not all stand in shuffle files at once
 FEW_BITS = 3  # by which SimHashes may differ that meet by two pieces
 BLOCK = 8  # words, four pairs
 DENSITY = 2  # a line of 2^k words has an anchor in 2^(k - DENSITY) words, 2 at least
@@ -123,15 +125,15 @@ def _simhash(words):
     return F.aggregate(words, F.struct(*(F.lit(0).cast("long").alias(name) for name in names)), add, majority)
 
 
-def pigeonhole_keys(prints: DataFrame, turn: int) -> DataFrame:
-    """(key, node, fp): two of the ``PIECES`` pieces of each SimHash, any two over ``PIECES`` turns.
+def pigeonhole_keys(prints: DataFrame, turn: int, turns: int) -> DataFrame:
+    """(key, node, fp): two of the ``PIECES`` pieces of each SimHash, any two over all turns.
 
     Two that differ in 3 bits or fewer have a key in common.
     """
     cuts = [64 * i // PIECES for i in range(PIECES + 1)]
     masks = [(1 << high) - (1 << low) for low, high in itertools.pairwise(cuts)]
     masks = [((x | y) ^ (1 << 63)) - (1 << 63) for x, y in itertools.combinations(masks, 2)]  # as signed longs
-    keys = F.array(*(F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(masks[i]))) for i in range(turn, len(masks), PIECES)))
+    keys = F.array(*(F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(masks[i]))) for i in range(turn, len(masks), turns)))
     return prints.select(F.explode(keys).alias("key"), "node", "fp")
 
 
@@ -197,7 +199,7 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose normalised lines (node, line) have the edit similarity.
+    """The pairs (a, b) whose normalised lines (node, line) have the edit similarity, staged.
 
     Words that both lines begin or end with are left out first, which changes no distance; what is left of
     most near lines is short. The letters that differ then bound the distance: all that is left, or, of as
@@ -220,9 +222,11 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     both = both.select("a", "b", "most", "near", *(F.array_join(f"p.{c}", " ").alias(c) for c in ("s", "t")))
     both = stage(both, "trimmed_pairs")
     near = F.col("near") | (F.greatest(F.length("s"), F.length("t")) <= F.col("most"))
-    for limit in ("least(most, 16)", "least(most, 64)", "most"):
-        near = near | F.expr(f"levenshtein(s, t, {limit}) >= 0")
-    return both.where(near).select("a", "b")
+    for limit, more in ((32, 32), (128, 512)):  # work grows with the limit, so pairs too far apart pay for all
+        near = near | (F.col("most") > more) & F.expr(f"levenshtein(s, t, {limit}) >= 0")
+    near = stage(both.where(near | F.expr("levenshtein(s, t, most) >= 0")).select("a", "b"), "near_pairs")
+    discard(both)
+    return near
 
 
 def _from(pair, n):
@@ -246,13 +250,24 @@ def _common(x: Column, y: Column) -> Column:
 def links(lines: DataFrame, max_distance: int = MAX_DISTANCE, similarity: float = 0.8) -> DataFrame:
     """(node, component) of every line that is linked with another; ``lines`` are staged ``line_nodes``.
 
-    Lines may repeat: a hot line reaches the shuffle once a task and key.
+    Lines may repeat: a hot line reaches the shuffle once a task and key. The result is staged.
     """
+    used = []
+    groups = _links(lines, max_distance, similarity, used)
+    discard(*(df for df in used if df is not groups))
+    release(groups)
+    return groups
+
+
+def _links(lines: DataFrame, max_distance: int, similarity: float, used: list[DataFrame]) -> DataFrame:
+    """``links``; ``used`` gets staged tables that nothing reads any more, and the result."""
     whole = stage(fingerprints(lines.groupBy("node").agg(F.min("line").alias("line"))), "word_prints")
     release(whole)
     few, alike = F.lit(min(FEW_BITS, max_distance)).alias("most"), []
-    for turn in range(PIECES):  # a part of the keys at a time, so that not all stand in shuffle files at once
-        keys = pigeonhole_keys(whole, turn)
+    each = math.comb(PIECES, 2)
+    turns = min(each, 1 + whole.count() * each // KEYS_A_TURN)
+    for turn in range(turns):
+        keys = pigeonhole_keys(whole, turn, turns)
         found = keys.groupBy("key").agg(
             F.count("*").alias("n"), F.bit_count(F.bit_or("fp").bitwiseXOR(F.bit_and("fp"))).alias("bits")
         )
@@ -266,7 +281,7 @@ def links(lines: DataFrame, max_distance: int = MAX_DISTANCE, similarity: float
         near = F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= FEW_BITS
         near = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") != F.col("y.node")) & near, "left_semi")
         alike.append(stage(near.unionByName(met.where(F.col("n") > CELL)).select("key", "node"), "alike_keys"))
-        discard(met)
+        discard(met, buckets)
     together = functools.reduce(DataFrame.unionByName, alike)
     centres = together.groupBy("key").agg(F.min("node").alias("centre"))
     together = together.join(centres, "key").select("key", "node", "centre", few)
@@ -294,28 +309,31 @@ def links(lines: DataFrame, max_distance: int = MAX_DISTANCE, similarity: float
     centres = large.where("node = centre").select("key", "node", "most", "fp", "fp2", "size")
     met = large.where("node <> centre").alias("x").join(_small(stage(centres, "centres")).alias("y"), "key")
     pairs = stage(pairs.unionByName(_pairs(met, max_distance, similarity)).distinct(), "line_pairs")
-    edges = stage(verified(pairs, texts, similarity), "line_edges")
-    groups = stage(components(edges), "line_groups")
+    edges = verified(pairs, texts, similarity)
+    groups, tried = stage(components(edges), "line_groups"), pairs
+    used += [buckets, asked, texts, prints, sizes, shared, pairs, edges, groups]
     if large.isEmpty():
         return groups
 
+    tagged, main = _mixed_buckets(large, groups)
     for turn in itertools.count():
-        tagged, main = _mixed_buckets(large, groups)
         if main.isEmpty():
             return groups
         # Most lines of a near group are near most others: a few more centres spare nearly all of its pairs.
         met = _outside(tagged).alias("x").join(_small(_centres(tagged, turn)).alias("y"), "key").where("x.g <> y.g")
-        pairs = stage(_pairs(met, max_distance, similarity).distinct(), "centre_pairs")
-        found = stage(verified(pairs, texts, similarity), "centre_edges")
-        asked, linked = pairs.count(), found.count()
+        pairs = _pairs(met, max_distance, similarity).distinct().join(_small(tried), ["a", "b"], "left_anti")
+        pairs = stage(pairs, "centre_pairs")
+        found = verified(pairs, texts, similarity)
+        asked, linked, tried = pairs.count(), found.count(), tried.unionByName(pairs)
+        used += [pairs, found]
         if linked:
-            edges = edges.unionByName(found)
-            groups = stage(components(edges), "line_groups")
+            # Groups only grow together, so no other bucket can have several now.
+            groups, before = merged(groups, found), (tagged, main)
+            tagged, main = _mixed_buckets(tagged, groups)
+            used.append(groups)
+            discard(*before)
         if linked < asked * WORTH or not linked:
             break
-        discard(tagged, main)
-    if linked:
-        tagged, main = _mixed_buckets(large, groups)
     others = F.explode(F.sequence(F.lit(0), F.col("cells") - 1))
     # Every pair of two groups has a line outside the bucket's largest group; of two such, the smaller asks.
     # A pair that shares several buckets of one kind is compared in the one of the smallest key.
@@ -326,15 +344,17 @@ def links(lines: DataFrame, max_distance: int = MAX_DISTANCE, similarity: float
     met = asking.alias("x").join(other.alias("y"), ["key", "x_cell", "y_cell"])
     met = met.where("x.g <> y.g AND (y.g = y.main OR x.node < y.node)")
     once = F.array_min(F.array_intersect("x.keys", "y.keys")) == F.col("key")
-    rest = stage(_pairs(met, max_distance, similarity, once), "rest_pairs")
-    rest = stage(verified(rest, texts, similarity), "rest_edges")
+    rest = _pairs(met, max_distance, similarity, once).join(_small(tried), ["a", "b"], "left_anti")
+    rest = stage(rest, "rest_pairs")
+    found = verified(rest, texts, similarity)
     discard(tagged, main, own)
-    return components(edges.unionByName(rest))
+    used += [rest, found]
+    return merged(groups, found)
 
 
 def _mixed_buckets(large: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The lines of buckets that have several groups, each with its group and the bucket's largest; and those buckets."""
-    tagged = large.join(groups, "node", "left").select("key", "node", "most", "fp", "fp2", "size", F.coalesce("component", "node").alias("g"))
+    tagged = large.select("key", "node", "most", "fp", "fp2", "size").join(groups, "node", "left").select("key", "node", "most", "fp", "fp2", "size", F.coalesce("component", "node").alias("g"))
     tagged = stage(tagged, "tagged_keys")
     members = stage(tagged.groupBy("key", "g").agg(F.count("*").alias("n")), "group_sizes")
     mixed = members.groupBy("key").agg(F.count("*").alias("groups"), F.max("n").alias("n"), F.sum("n").alias("lines")).where("groups > 1")
@@ -372,8 +392,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """(id, gone array of line numbers from 0) for every document that loses a line."""
     staged = stage(line_nodes(docs, id_col, text_col), "lines")
     lines = staged.where("line <> ''")
-    groups = stage(links(lines, **how), "line_groups")
-    release(groups)
+    groups = links(lines, **how)
     firsts = lines.groupBy("node").agg(F.count("*").alias("times"), F.min("id").alias("first_id"))
     grouped = firsts.join(groups, "node", "left").select("node", "times", "first_id", F.coalesce("component", "node").alias("g"))
     grouped = stage(grouped, "grouped_lines")
