@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tramline.session import stage
 
 BROADCAST_EDGES = 500_000  # whose minima, of two longs a node, are broadcast
+EDGES_A_TASK = 1 << 15  # of so few edges; four tasks at least
 
 
 def release(df: DataFrame) -> None:
@@ -41,7 +42,7 @@ def components(edges: DataFrame) -> DataFrame:
     node hands its larger neighbours, then its smaller ones, over to its smallest neighbour, until
     nothing changes (a logarithmic number of rounds in practice). Minima are pre-aggregated before the shuffle
     and staged, so the join back to the edges of a hub can be split by adaptive execution; those of few edges are
-    broadcast, which spares half the tasks. A round's tables go when the next one is staged. Edges
+    broadcast and dealt to few tasks. A round's tables go when the next one is staged. Edges
     with a null end and loops are ignored; no edges give no rows.
     """
     edges = stage(
@@ -55,13 +56,18 @@ def components(edges: DataFrame) -> DataFrame:
             return _result(edges)
         before, old = state, edges
         small_enough = state[0] <= BROADCAST_EDGES
+        tasks = 4 + state[0] // EDGES_A_TASK
+
+        def dealt(df):
+            return df.coalesce(tasks) if small_enough else df
+
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        nearest = stage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
+        nearest = stage(dealt(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))), "least")
         large = both.join(F.broadcast(nearest) if small_enough else nearest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stage(large.distinct(), "large")
-        least = stage(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        large = stage(dealt(large.distinct()), "large")
+        least = stage(dealt(large.groupBy("u").agg(F.min("v").alias("m"))), "least")
         small = large.join(F.broadcast(least) if small_enough else least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = stage(small.unionByName(least.withColumnRenamed("m", "v")).distinct(), "edges")
+        edges = stage(dealt(small.unionByName(least.withColumnRenamed("m", "v")).distinct()), "edges")
         discard(old, nearest, large, least)
 
 
