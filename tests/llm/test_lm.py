@@ -171,3 +171,54 @@ def test_each_turn_settles_its_histories():
         before.append({int(b) for r in out for b in r.column("b").values.to_pylist()} - {0})
     assert places == sum(len(tokens(t)) for t in texts)
     assert sum(map(len, before)) == len(set.union(*before)) == 4
+
+
+def _one_group(texts, learn, hot=()):
+    """Kinds of rows that all groups of all turns hand on when one group has all places, and the rows with sums."""
+    column = {"id": pa.array(range(len(texts))), "t": pa.array(texts, pa.string()), "learn": learn, "h": pa.array(range(len(texts)))}
+    batch = pa.RecordBatch.from_pydict(column)
+    h, first = lm.tokens(batch.column("t"))
+    taught = np.repeat(learn, np.diff(first))
+    of = lm.Counts.of(*np.unique(h[taught], return_counts=True))
+    none = lm.Counts.of(np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    is_hot = np.isin(of.keys, [int(h[x]) for x in hot])
+    common = {"words": of, "hot": lm.Counts(of.keys[is_hot], of.counts[is_hot]), "pairs": none, "triples": none, "all": float(sum(taught) + len(of.keys) + 1)}
+    kinds, sums = [], []
+    for turn in range(lm.PASSES):
+        table = pa.Table.from_batches(lm._packed(lm._places(iter([batch]), common, 1, turn)))
+        found = lm._arcs(table, common).to_pylist()
+        kinds += [r["kind"] for r in found]
+        sums += [r for r in found if r["kind"] == lm.SUMS and r["ts"]]
+    return kinds, sums
+
+
+def test_a_group_settles_its_words():
+    """Arcs and failure arcs after a word that is not hot leave its group as one row of sums a slice, not as rows of places or histories."""
+    texts = ["a b c a b d", "b a c", "a b a c d", "d d d a b c", "a c b zz a b a", None]
+    learn = [True, True, True, True, False, False]
+    kinds, sums = _one_group(texts, learn)
+    assert set(kinds) == {lm.SUMS, lm.NAMES, lm.ASK_W}  # ASK_W: places of words that no training text has
+    assert len(sums) <= lm.PASSES
+    kinds, _ = _one_group(texts, learn, hot=(0, 1))
+    assert {lm.STATE, lm.HOT_FOLLOWERS, lm.ASK_P} <= set(kinds)
+
+
+@pytest.mark.parametrize("common,positions", [(0.02, 50), (0.002, 400), (4e-6, 1)])
+def test_hot_words_have_the_same_scores(spark, docs, common, positions, monkeypatch):
+    """Words that fill groups, common bigrams and trigrams of such words, rare followers, and words of held-out texts alone."""
+    rng = np.random.default_rng(8)
+    p = 1 / np.arange(1, 301)
+    texts = [" ".join(f"w{x}" for x in rng.choice(300, p=p / p.sum(), size=rng.integers(0, 50))) for _ in range(120)]
+    texts += ["w0 w1 w2 w0 w1 w2", "zz w0 zz w1 w0", "zz zz zz", None, "", texts[0], texts[3]]
+    df = docs([(i, t, None, None, None) for i, t in enumerate(texts)] + [(3, texts[3], None, None, None), (None, "w1 w2 w3", None, None, None)])
+    monkeypatch.setattr(lm, "COMMON", common)
+    monkeypatch.setattr(lm, "POSITIONS", positions)
+    got, model = lm.score_corpus(df, F.col("doc_id") % 3 != 0)
+    brute = Brute([t for i, t in enumerate(texts) if i % 3], 3, 0, 0)
+    rows = got.collect()
+    assert sorted(r.doc_id or 0 for r in rows) == sorted([*range(len(texts)), 3, 0])
+    for r in rows:
+        text = "w1 w2 w3" if r.doc_id is None else texts[r.doc_id]
+        assert r.score == pytest.approx(brute.score(text), rel=1e-9)
+        assert r.base_score == pytest.approx(brute.base(text), rel=1e-9)
+        assert (r.n_tokens, r.n_known) == (len(tokens(text)), sum(brute.one[w] > 0 for w in tokens(text)))
