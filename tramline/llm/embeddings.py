@@ -315,9 +315,10 @@ def _matrix(column: pa.Array, kind: str, dim: int) -> np.ndarray:
 
 def _unit(raw: np.ndarray) -> np.ndarray:
     """In double precision."""
-    raw = raw.astype(np.float64)
-    scaled = raw / np.abs(raw).max(axis=1, keepdims=True)  # squares of very large or small values stay finite
-    return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
+    scaled = raw.astype(np.float64)
+    scaled /= np.abs(scaled).max(axis=1, keepdims=True)  # squares of very large or small values stay finite
+    scaled /= np.linalg.norm(scaled, axis=1, keepdims=True)
+    return scaled
 
 
 def _valid(vector: str):
